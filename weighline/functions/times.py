@@ -48,39 +48,44 @@ def second_of_day(wall: Column) -> Column:
 
 def parse_clock(text: Column, received_at: Column, zone: str = S.FACTORY_ZONE) -> Column:
     """``HH:MM`` on the factory date of ``received_at``; null when the text is not a valid clock time."""
-    hour = F.split(text, ":").getItem(0).try_cast("int")
-    minute = F.split(text, ":").getItem(1).try_cast("int")
-    ok = text.rlike(S.CLOCK_PATTERN) & hour.between(0, 23) & minute.between(0, 59)
+    hour = F.substring_index(text, ":", 1).try_cast("int")
+    minute = F.substring_index(text, ":", -1).try_cast("int")
+    seconds = F.when(text.rlike(S.CLOCK_PATTERN) & (hour <= 23) & (minute <= 59), hour * 3600 + minute * 60)
     midnight = F.date_trunc("day", local(received_at, zone))
-    wall = F.timestamp_micros(micros(midnight) + (hour * 3600 + minute * 60).cast("bigint") * F.lit(1_000_000))
-    return F.when(ok, F.to_utc_timestamp(wall, zone))
+    wall = F.timestamp_micros(micros(midnight) + seconds.cast("bigint") * F.lit(1_000_000))
+    return F.to_utc_timestamp(wall, zone)
 
 
-def parse_timestamp(text: Column, received_at: Column, zone: str = S.FACTORY_ZONE) -> Column:
-    """Device time text to UTC.
+def parse_instant(value: Column, received_at: Column) -> Column:
+    """Trimmed date-time text to UTC (no zone means UTC); null when it cannot be read.
+
+    ISO text is the common case; the other layouts are tried only for text of their shape.  Times without a date get
+    the UTC date of arrival.
+    """
+    rare = (
+        F.when(value.rlike(r"^\d{9,19}$"),
+               F.timestamp_micros(F.call_function("div", value.try_cast("bigint"), F.lit(1000).cast("bigint"))))
+        .when(value.rlike(r"^T?\d{1,2}:"),
+              F.concat(F.date_format(received_at, "yyyy-MM-dd "), F.ltrim(value, F.lit("T"))).try_cast("timestamp"))
+        .when(value.rlike(r"^\d{8}$"), F.try_to_timestamp(value, F.lit("yyyyMMdd")))
+        .when(value.rlike(r"^\d{4}/"), F.try_to_timestamp(value, F.lit("yyyy/MM/dd HH:mm:ss")))
+        .when(value.rlike(r"^\d{2}/"), F.try_to_timestamp(value, F.lit("MM/dd/yyyy HH:mm:ss")))
+    )
+    return F.when(F.substring(value, 5, 1) == "-", value.try_cast("timestamp")).otherwise(rare)
+
+
+def parse_timestamp(value: Column, received_at: Column, zone: str = S.FACTORY_ZONE) -> Column:
+    """Trimmed device time text to UTC.
 
     Missing text stays null.  ``HH:MM`` is read as factory local time, times without a zone as UTC, long digit runs
     as epoch nanoseconds.  Text that cannot be read falls back to ``received_at``, so results do not depend on when
     the job runs.
     """
-    value = F.btrim(text, F.lit(" \t\r\n"))
-    clock_like = (F.length(value) <= 5) & (F.length(value) - F.length(F.replace(value, F.lit(":"), F.lit(""))) == 1)
-    time_only = value.rlike(r"^T?\d{1,2}:")
-    general = F.coalesce(
-        F.when(value.rlike(r"^\d{9,19}$"), F.timestamp_micros(F.floor(value.try_cast("bigint") / 1000))),
-        F.when(value.rlike(r"^\d{8}$"), F.try_to_timestamp(value, F.lit("yyyyMMdd"))),
-        F.when(value.rlike(r"^\d{4}-\d{1,2}"), value.try_cast("timestamp")),
-        F.when(value.rlike(r"^\d{4}/\d{2}/\d{2} \d{2}:\d{2}:\d{2}$"),
-               F.try_to_timestamp(value, F.lit("yyyy/MM/dd HH:mm:ss"))),
-        F.when(value.rlike(r"^\d{2}/\d{2}/\d{4} \d{2}:\d{2}:\d{2}$"),
-               F.try_to_timestamp(value, F.lit("MM/dd/yyyy HH:mm:ss"))),
-        F.when(time_only, F.concat(F.date_format(received_at, "yyyy-MM-dd "), F.ltrim(value, F.lit("T")))
-               .try_cast("timestamp")),
-    )
+    clock_like = (F.length(value) <= 5) & value.contains(":") & ~value.rlike(":.*:")
     return (
         F.when(value.isNull() | value.isin(S.MISSING_TIMESTAMP_TEXT), F.lit(None).cast("timestamp"))
         .when(clock_like, F.coalesce(parse_clock(value, received_at, zone), received_at))
-        .otherwise(F.coalesce(general, received_at))
+        .otherwise(F.coalesce(parse_instant(value, received_at), received_at))
     )
 
 

@@ -14,21 +14,22 @@ def typed(records: DataFrame, decimal_comma: bool = True, zone: str = S.FACTORY_
 
     ``decimal_comma=False`` treats ``0,500`` as a bad number.
     """
-    identity = F.coalesce(numbers.safe_bigint(F.col("identity")), F.lit(0).cast("bigint"))
-    device_time = times.parse_timestamp(F.col("timestamp"), F.col("received_at"), zone)
     server = F.coalesce("creation_utc_text", "server_time_text")
-    return records.select(
-        "mqtt_topic",
-        F.coalesce(clean_text(F.col("linea")), F.lit("unknown")).alias("linea"),
-        identity.alias("identity"),
-        times.jitter(device_time, identity).alias("timestamp"),
+    trimmed = records.withColumns({
+        "linea": F.coalesce(clean_text(F.col("linea")), F.lit("unknown")),
+        "_time": clean_text(F.col("timestamp")), "_server": clean_text(server),
+        "_identity": F.coalesce(numbers.safe_bigint(F.col("identity")), F.lit(0).cast("bigint"))})
+    parsed = trimmed.withColumn("_at", times.parse_timestamp(F.col("_time"), F.col("received_at"), zone))
+    return parsed.select(
+        "mqtt_topic", "linea", F.col("_identity").alias("identity"),
+        times.jitter(F.col("_at"), F.col("_identity")).alias("timestamp"),
         numbers.safe_double(F.col("net_weight"), decimal_comma).alias("net_weight"),
         numbers.safe_double(F.col("printed_weight"), decimal_comma).alias("printed_weight"),
         "article_name", "article_number", "batch_code", "operator_id", "record_uuid", "quality_status",
         F.coalesce(numbers.safe_double(F.col("tare_g")), F.lit(0.0)).alias("tare_g"),
         numbers.safe_double(F.col("reject_flag")).alias("reject_flag"),
         numbers.safe_bigint(F.col("active_workers")).cast("int").alias("active_workers"),
-        F.when(server.isNotNull(), times.parse_timestamp(server, F.col("received_at"), zone)).alias("server_time"),
+        times.parse_instant(F.col("_server"), F.col("received_at")).alias("server_time"),
         "received_at",
     )
 

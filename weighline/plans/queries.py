@@ -65,7 +65,7 @@ def parsed(spark, sf_dir) -> DataFrame:
 @query
 def ingest_parse(spark, sf_dir):
     """JSON objects and arrays to records in canonical columns."""
-    return raw.canonical(parsed(spark, sf_dir)).select(
+    return parsed(spark, sf_dir).select(
         "mqtt_topic", "linea", "identity", "article_name", "article_number", "net_weight",
         F.col("timestamp").alias("time_text"), "record_uuid", "reject_flag", "quality_status", "received_at")
 
@@ -97,7 +97,7 @@ def throughput_topic(spark, sf_dir):
 @query
 def alias_coalesce(spark, sf_dir):
     """Which source name each record used, after row-wise alias resolution."""
-    c = raw.canonical(parsed(spark, sf_dir))
+    c = parsed(spark, sf_dir)
     return c.groupBy("mqtt_topic", "linea", "article_number").agg(
         F.count(F.lit(1)).alias("records"), F.count("net_weight").alias("weights"), F.count("timestamp").alias("times"),
         F.count("record_uuid").alias("uuids"), F.count("reject_flag").alias("rejects"))
@@ -105,7 +105,7 @@ def alias_coalesce(spark, sf_dir):
 
 @query
 def clean_weighings(spark, sf_dir):
-    return cl.clean(raw.canonical(parsed(spark, sf_dir))).select(
+    return cl.clean(parsed(spark, sf_dir)).select(
         "mqtt_topic", "linea", "identity", "timestamp", "net_weight", "article_name", "article_number",
         "record_uuid", "reject_flag")
 
@@ -113,7 +113,7 @@ def clean_weighings(spark, sf_dir):
 @query
 def clean_strict(spark, sf_dir):
     """The same without decimal commas: such weights are not numbers."""
-    c = cl.typed(raw.canonical(parsed(spark, sf_dir)), decimal_comma=False)
+    c = cl.typed(parsed(spark, sf_dir), decimal_comma=False)
     return c.groupBy("linea").agg(F.count(F.lit(1)).alias("records"), F.count("net_weight").alias("valid_weights"))
 
 
@@ -523,6 +523,6 @@ def ops_errors(spark, sf_dir):
     """Rejected inputs by reason, as errors of the component that found them."""
     r = raw.subscribe(tm.raw_messages(spark, sf_dir))
     bad = raw.dead_letters(r).select(F.col("reason").alias("error_type"), F.lit("parser").alias("component"))
-    late = cl.rejected(raw.canonical(raw.parse(r))).select(F.col("reason").alias("error_type"),
+    late = cl.rejected(raw.parse(r)).select(F.col("reason").alias("error_type"),
                                                            F.lit("cleaner").alias("component"))
     return audit.error_counts(bad.unionByName(late))

@@ -13,7 +13,17 @@ RAW_SCHEMA = T.StructType([
     T.StructField("received_at", T.TimestampType()),
     T.StructField("attempts", T.IntegerType()),
 ])
-_RECORD = "array<map<string,string>>"
+
+
+def _source_names() -> list[str]:
+    """Every field name a device may send, each once."""
+    names = [n for canonical, aliases in S.ALIASES.items() for n in [canonical, *aliases]] + S.PLAIN_COLUMNS
+    return list(dict.fromkeys(names))
+
+
+NAMES = _source_names()
+_FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in NAMES])
+_RECORDS = T.ArrayType(T.StructType([*_FIELDS.fields, T.StructField("values", _FIELDS)]))
 
 
 def load_raw(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
@@ -48,62 +58,56 @@ def _wrapped() -> Column:
 
 
 def _objects() -> Column:
-    """The payload's objects, or null when it is not JSON or holds anything but objects."""
-    return F.from_json(_wrapped(), _RECORD)
+    """The payload's objects, or null when it is not JSON or holds anything but objects.
+
+    ``values.`` is removed from dotted key names first.
+    """
+    text = _wrapped()
+    plain = F.when(text.contains('"values.'), F.regexp_replace(text, r'(?<!\\)"values\.([^"]*)"(\s*:)', '"$1"$2'))
+    return F.from_json(F.coalesce(plain, text), _RECORDS)
 
 
 def parse(raw: DataFrame) -> DataFrame:
-    """One row per record: ``topic, received_at, attempts, fields``.  Unusable payloads go to :func:`dead_letters`.
+    """One row per record in canonical text columns.  Unusable payloads go to :func:`dead_letters`.
 
-    ``fields`` holds the source names as sent; members of a nested ``values`` object are lifted to the top and
-    ``values.`` is removed from dotted names.
+    Names are chosen row by row: the canonical name first, then its aliases in order, then the same inside a nested
+    ``values`` object.  Columns are addressed by position because devices use names that differ only in case.
     """
-    body = _body()
     records = _objects()
-    usable = F.when(body.contains("null") & F.exists(records, lambda r: r.isNull()), None).otherwise(records)
-    rows = raw.select("topic", "received_at", "attempts", body.contains("values").alias("_values"),
-                      F.explode(usable).alias("r"))
-    nested = F.coalesce(F.from_json(F.col("r")["values"], "map<string,string>"),
-                        F.create_map().cast("map<string,string>"))
-    plain = F.transform_keys("r", lambda k, _: F.replace(k, F.lit("values."), F.lit("")))
-    lifted = F.map_concat(plain, F.map_filter(nested, lambda k, _: ~F.map_contains_key(plain, k)))
-    return rows.select("topic", "received_at", "attempts",
-                       F.when(F.col("_values"), lifted).otherwise(F.col("r")).alias("fields"))
-
+    has_null = _body().contains("null") & F.exists(records, lambda r: r.isNull())
+    flat = raw.select("topic", "received_at", "attempts", F.inline(F.when(has_null, None).otherwise(records)))
+    top = [f"f{i}" for i in range(len(NAMES))]
+    inner = [f"v{i}" for i in range(len(NAMES))]
+    flat = flat.toDF("topic", "received_at", "attempts", *top, "nested")
+    both = flat.select("*", F.inline_outer(F.array("nested"))).toDF(*flat.columns, *inner)
 
-def canonical(parsed: DataFrame) -> DataFrame:
-    """Canonical text columns: the canonical name first, then its aliases in order, chosen row by row."""
-    f = F.col("fields")
-
-    def pick(names):
-        return F.coalesce(*[f[n] for n in names])
+    def pick(names: list[str]) -> Column:
+        at = [NAMES.index(n) for n in names]
+        return F.coalesce(*[F.col(top[i]) for i in at], *[F.col(inner[i]) for i in at])
 
     out = []
     for name, aliases in S.ALIASES.items():
-        names = [name] + [a for a in aliases if a != name]
+        names = list(dict.fromkeys([name, *aliases]))
         if name == "linea":
-            names = ["DeviceName", "linea"] + [a for a in names if a not in ("DeviceName", "linea")] + ["device_id"]
+            names = list(dict.fromkeys(["DeviceName", "linea", "device_name", *names, "device_id"]))
         out.append(pick(names).alias("server_time_text" if name == "serverTime" else name))
-    return parsed.select(
-        F.coalesce(f["mqtt_topic"], F.col("topic")).alias("mqtt_topic"),
-        "received_at", "attempts", *out,
-        f["quality_status"].alias("quality_status"),
-        f["tare_g"].alias("tare_g"),
-        f["CreationDateUtc"].alias("creation_utc_text"),
-    )
+    return both.select(
+        F.coalesce(pick(["mqtt_topic"]), F.col("topic")).alias("mqtt_topic"), "received_at", "attempts", *out,
+        pick(["quality_status"]).alias("quality_status"), pick(["tare_g"]).alias("tare_g"),
+        pick(["CreationDateUtc"]).alias("creation_utc_text"))
 
 
 def dead_letters(raw: DataFrame) -> DataFrame:
     """Rejected payloads: ``timestamp, topic, reason, data``."""
-    body, records = _body(), _objects()
-    usable = records.isNotNull() & ~F.exists(records, lambda r: r.isNull())
+    body = _body()
+    # Only the shape matters here, so one field is enough to read.
+    shape = F.from_json(_wrapped(), "array<struct<identity: string>>")
+    usable = F.coalesce(F.forall(shape, lambda r: r.isNotNull()), F.lit(False))
+    bad_text = body.isNull() | ~F.is_valid_utf8(body)
     bad_json = F.try_parse_json(body).isNull() | F.try_parse_json(_wrapped()).isNull()
-    reason = (F.when(body.isNull() | ~F.is_valid_utf8(body), "encoding_error")
-              .when(usable, F.lit(None).cast("string"))
-              .when(bad_json, "json_decode_error")
-              .otherwise("not_an_object"))
-    return (raw.select(F.col("received_at").alias("timestamp"), "topic", reason.alias("reason"), body.alias("data"))
-            .where(F.col("reason").isNotNull()))
+    reason = (F.when(bad_text, "encoding_error").when(bad_json, "json_decode_error").otherwise("not_an_object"))
+    return (raw.where(bad_text | ~usable)
+            .select(F.col("received_at").alias("timestamp"), "topic", reason.alias("reason"), body.alias("data")))
 
 
 def retry_split(failed: DataFrame, max_retries: int = S.MAX_RETRIES) -> DataFrame:

@@ -21,10 +21,16 @@ CONTACTS = {
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with ``ts`` as a UTC instant."""
-    return (spark.read.parquet(f"{sf_dir}/events.parquet")
+    return (spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
             .withColumn("ts", F.col("ts").cast("timestamp")))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use every core for a table stored in fewer splits than there are cores; larger tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(cores, 8) else df
+
+
 def _k():
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -55,29 +61,26 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = events(spark, sf_dir)
     i = F.col("event_id")
-    base = {
-        "line": F.concat(F.lit("Line_"), F.lpad((F.col("user_id") % 6).cast("string"), 2, "0")),
-        "art": F.concat(F.lit("A-10"), F.floor(i / 50) % 5),
-        "w": F.format_string("%.2f", "value"),
-        "t": (F.when(i % 11 == 0, F.lit("25:99"))
-              .when(i % 5 == 0, F.date_format("ts", "HH:mm"))
-              .when(i % 5 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
-              .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))),
-    }
-    canonical = F.format_string(
-        '{"identity": %d, "timestamp": "%s", "net_weight": %s, "article_name": "%s", "article_number": "%s", '
-        '"linea": "%s", "quality_status": " ok ", "mqtt_topic": "factory/own"}',
-        i, base["t"], F.when(i % 17 == 0, F.lit('"sensor_error"')).otherwise(base["w"]), "event_type", base["art"],
-        base["line"])
-    device = F.format_string(
-        '{"Identity": "%d", "Timestamp": "%s", "ActualNetWeightValue": "%s", "ArticleName": "%s", '
-        '"ArticleNumber": "%s", "DeviceName": "%s", "Reject": %d, "Id": "uuid-%d"}',
-        i, base["t"], F.replace(base["w"], F.lit("."), F.lit(",")), "event_type", base["art"], base["line"],
-        _k() % 2, i)
-    nested = F.format_string(
-        '{"values": {"Identity": %d, "Fecha": "%s", "Peso": "%s"}, "values.Producto": "%s", "ItemCode": "%s", '
-        '"Source": "%s"}',
-        i, base["t"], base["w"], "event_type", base["art"], base["line"])
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    line = F.concat(F.lit("Line_"), F.lpad((F.col("user_id") % 6).cast("string"), 2, "0"))
+    art = F.concat(F.lit("A-10"), F.floor(i / 50) % 5)
+    kind = F.col("event_type")
+    w = F.col("value").cast("decimal(12,2)").cast("string")
+    t = (F.when(i % 11 == 0, F.lit("25:99"))
+         .when(i % 5 == 0, F.date_format("ts", "HH:mm"))
+         .when(i % 5 == 1, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
+         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")))
+    canonical = text('{"identity": ', i, ', "timestamp": "', t, '", "net_weight": ',
+                     F.when(i % 17 == 0, F.lit('"sensor_error"')).otherwise(w), ', "article_name": "', kind,
+                     '", "article_number": "', art, '", "linea": "', line,
+                     '", "quality_status": " ok ", "mqtt_topic": "factory/own"}')
+    device = text('{"Identity": "', i, '", "Timestamp": "', t, '", "ActualNetWeightValue": "',
+                  F.replace(w, F.lit("."), F.lit(",")), '", "ArticleName": "', kind, '", "ArticleNumber": "', art,
+                  '", "DeviceName": "', line, '", "Reject": ', _k() % 2, ', "Id": "uuid-', i, '"}')
+    nested = text('{"values": {"Identity": ', i, ', "Fecha": "', t, '", "Peso": "', w, '"}, "values.Producto": "', kind,
+                  '", "ItemCode": "', art, '", "Source": "', line, '"}')
     obj = F.when(i % 3 == 0, canonical).when(i % 3 == 1, device).otherwise(nested)
     payload = (F.when(i % 20 == 3, F.expr("substring('{\"identity\": 12345, \"net', 1, 5 + cast(event_id % 10 as int))"))
                .when(i % 20 == 8, F.lit("[1,2]"))
