@@ -44,10 +44,15 @@ def clean(records: DataFrame, decimal_comma: bool = True, zone: str = S.FACTORY_
     return typed(records, decimal_comma, zone).where(is_valid())
 
 
+def rejection() -> Column:
+    """Why a record is not valid."""
+    return F.when(F.col("timestamp").isNull(), "missing_timestamp").otherwise("bad_weight")
+
+
 def rejected(records: DataFrame, decimal_comma: bool = True, zone: str = S.FACTORY_ZONE) -> DataFrame:
     """Records :func:`clean` leaves out, with the reason; they are kept for the archive."""
     return (typed(records, decimal_comma, zone).where(~is_valid())
-            .withColumn("reason", F.when(F.col("timestamp").isNull(), "missing_timestamp").otherwise("bad_weight")))
+            .withColumn("reason", rejection()))
 
 
 def business_fields(df: DataFrame, zone: str = S.FACTORY_ZONE) -> DataFrame:

@@ -11,6 +11,8 @@ every group small without pairing batches with each other.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from weighline import settings as S
@@ -38,10 +40,24 @@ def _numbered(batches: DataFrame) -> DataFrame:
             .withColumn("closed_before", F.col("_peers") + F.col("_before")))
 
 
+@dataclass(frozen=True)
+class Returns:
+    """``alerts``, the ``closings`` of this input, and ``closed_counts`` per topic and day including earlier ones."""
+
+    alerts: DataFrame
+    closings: DataFrame
+    closed_counts: DataFrame
+
+
 def detect_returns(batches: DataFrame, cap: int = S.HISTORY_CAP, zone: str = S.FACTORY_ZONE,
-                   block: int = BLOCK, history: DataFrame | None = None,
-                   closed_so_far: DataFrame | None = None) -> DataFrame:
-    """Return alerts of numbered batches (``Segments.batches``).
+                   block: int = BLOCK) -> DataFrame:
+    """Return alerts of numbered batches (``Segments.batches``)."""
+    return find_returns(batches, cap, zone, block).alerts
+
+
+def find_returns(batches: DataFrame, cap: int = S.HISTORY_CAP, zone: str = S.FACTORY_ZONE, block: int = BLOCK,
+                 history: DataFrame | None = None, closed_so_far: DataFrame | None = None) -> Returns:
+    """Return alerts with what the next input needs.
 
     ``history`` (earlier closings of the open days: :func:`closings`) and ``closed_so_far`` (their count per topic and
     day) continue an earlier call.
@@ -62,7 +78,7 @@ def detect_returns(batches: DataFrame, cap: int = S.HISTORY_CAP, zone: str = S.F
     probes = rows.where("reason = 'new_article' and not is_old").select(
         "mqtt_topic", "day", "article", lowest.alias("pos"), F.lit(0).alias("kind"),
         "linea", "batch_instance_id", "start_us", F.lit(None).cast(CLOSING_TYPE).alias("closing"))
-    closed = closings(rows)
+    closed = own = closings(rows)
     if history is not None:
         closed = closed.unionByName(history)
     homes = F.filter(F.array(F.floor(F.col("close_no") / block),
@@ -85,7 +101,7 @@ def detect_returns(batches: DataFrame, cap: int = S.HISTORY_CAP, zone: str = S.F
                          .when(F.col("_ended.closed_us") <= F.col("start_us"), F.col("_ended")))
              .where("p is not null"))
     gap = (F.col("start_us") - F.col("p.end_us")) / F.lit(1_000_000.0)
-    return found.select(
+    alerts = found.select(
         "mqtt_topic", tx.virtual_topic(F.col("mqtt_topic"), F.col("linea")).alias("topic"),
         F.lit("GLOBAL_RETURN").alias("alert_type"), F.col("article").alias("product"),
         F.col("p.linea").alias("origin_line"), F.col("linea").alias("current_line"), "batch_instance_id",
@@ -93,6 +109,8 @@ def detect_returns(batches: DataFrame, cap: int = S.HISTORY_CAP, zone: str = S.F
         F.timestamp_micros("start_us").alias("curr_start"), gap.alias("gap_seconds"),
         tx.return_message(F.col("article"), F.col("p.linea"), F.timestamp_micros("p.end_us"), gap, zone)
         .alias("message"))
+    counts = own.groupBy("mqtt_topic", "day").agg(F.max("close_no").alias("closed_count"))
+    return Returns(alerts, own, counts)
 
 
 CLOSING_TYPE = "struct<start_us: bigint, end_us: bigint, closed_us: bigint, linea: string, close_no: bigint>"

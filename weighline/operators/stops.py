@@ -71,10 +71,19 @@ def _alerts(tails: DataFrame, batches: DataFrame, fire: Column, silence_until: C
                     tx.stop_message(F.col("linea"), F.col("article"), gap).alias("message")))
 
 
-def detect_stops(seg: Segments, zone: str = S.FACTORY_ZONE, max_lag: int | None = None) -> DataFrame:
-    """One alert per silence in the history.  ``max_lag`` suppresses silences that follow a late delivery."""
+def detect_stops(seg: Segments, zone: str = S.FACTORY_ZONE, max_lag: int | None = None,
+                 closed_only: bool = False) -> DataFrame:
+    """One alert per silence in the history.  ``max_lag`` suppresses silences that follow a late delivery.
+
+    ``closed_only`` leaves out the silence after a line's newest record: in a stream it is reported when it ends, and
+    by the live check while it lasts.
+    """
     fire = fire_time(F.col("last_us"), zone)
-    tails = _tails(seg, zone).where((F.col("next_us").isNull() | (fire < F.col("next_us")))
+    tails = _tails(seg, zone)
+    if closed_only:
+        newest = tails.groupBy(*LINE).agg(F.max("last_us").alias("_newest"))
+        tails = tails.join(newest, LINE).where(F.col("last_us") < F.col("_newest")).drop("_newest")
+    tails = tails.where((F.col("next_us").isNull() | (fire < F.col("next_us")))
                                     & in_watch(F.col("last_us"), fire, zone))
     return _alerts(tails, seg.batches, fire, F.col("_fire"), zone, max_lag)
 
