@@ -70,22 +70,15 @@ def display_date(ts: Column, zone: str = S.FACTORY_ZONE) -> Column:
     return times.local_text(ts, "dd/MM/yyyy", zone)
 
 
-def one_decimal(value: Column) -> Column:
-    return F.format_string("%.1f", value)
-
-
 def stop_message(line: Column, product: Column, silence_seconds: Column) -> Column:
-    return F.concat(F.lit("STOP DETECTED: "), line, F.lit(" has been inactive for "),
-                    F.floor(silence_seconds / 60).cast("string"), F.lit(" minutes (last product: "), product,
-                    F.lit(")"))
+    return F.format_string(S.STOP_MESSAGE, line, F.floor(silence_seconds / 60).cast("bigint"), product)
 
 
 def return_message(product: Column, origin_line: Column, ended: Column, gap_seconds: Column,
                    zone: str = S.FACTORY_ZONE) -> Column:
-    return F.concat(F.lit("GLOBAL RETURN: "), product, F.lit(" — previously on "), origin_line, F.lit(" (ended "),
-                    times.local_text(ended, "HH:mm:ss", zone), F.lit(", gap "), one_decimal(gap_seconds / 3600),
-                    F.lit("h)"))
+    return F.format_string(S.RETURN_MESSAGE, product, origin_line, times.local_text(ended, "HH:mm:ss", zone),
+                           gap_seconds / 3600)
 
 
 def alert_subject(alert_type: Column, topic: Column) -> Column:
-    return F.concat(F.lit("ALERT: "), alert_type, F.lit(" — "), topic)
+    return F.format_string(S.SUBJECT, alert_type, topic)

@@ -103,7 +103,7 @@ def find_returns(batches: DataFrame, cap: int = S.HISTORY_CAP, zone: str = S.FAC
     gap = (F.col("start_us") - F.col("p.end_us")) / F.lit(1_000_000.0)
     alerts = found.select(
         "mqtt_topic", tx.virtual_topic(F.col("mqtt_topic"), F.col("linea")).alias("topic"),
-        F.lit("GLOBAL_RETURN").alias("alert_type"), F.col("article").alias("product"),
+        F.lit(S.RETURN_TYPE).alias("alert_type"), F.col("article").alias("product"),
         F.col("p.linea").alias("origin_line"), F.col("linea").alias("current_line"), "batch_instance_id",
         F.timestamp_micros("p.start_us").alias("prev_start"), F.timestamp_micros("p.end_us").alias("prev_end"),
         F.timestamp_micros("start_us").alias("curr_start"), gap.alias("gap_seconds"),

@@ -63,9 +63,9 @@ def _alerts(tails: DataFrame, batches: DataFrame, fire: Column, silence_until: C
     gap = (F.col("_until") - F.col("last_us")) / F.lit(float(_SECOND))
     topic = tx.virtual_topic(F.col("mqtt_topic"), F.col("linea"))
     return (rows.join(about, [*LINE, "day", "key_slice", "key_run"])
-            .select("mqtt_topic", topic.alias("topic"), F.lit("LINE STOP (>10min)").alias("alert_type"),
+            .select("mqtt_topic", topic.alias("topic"), F.lit(S.STOP_TYPE).alias("alert_type"),
                     F.col("article").alias("product"), F.col("linea").alias("origin_line"),
-                    F.lit("UNEXPECTED STOP").alias("current_line"), "batch_instance_id",
+                    F.lit(S.STOP_LINE_TEXT).alias("current_line"), "batch_instance_id",
                     F.col("start_time").alias("prev_start"), F.timestamp_micros("last_us").alias("prev_end"),
                     F.timestamp_micros("_until").alias("curr_start"), gap.alias("gap_seconds"),
                     tx.stop_message(F.col("linea"), F.col("article"), gap).alias("message")))

@@ -105,7 +105,7 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
                             closed_so_far=state and state.closed)
     stops = st.detect_stops(seg, zone, max_lag, closed_only=more_follows)
     both = materialize(al.all_alerts(found.alerts, stops), "alerts")
-    is_return = F.col("alert_type") == "GLOBAL_RETURN"
+    is_return = F.col("alert_type") == S.RETURN_TYPE
     with_ids = ba.with_batches(on_time, seg)
     return Result(
         dead_letters=rw.dead_letters(heard),

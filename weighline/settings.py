@@ -72,6 +72,14 @@ MISSING_TIMESTAMP_TEXT = ["", "nan", "NaN", "NAN", "nat", "NaT", "NAT", "None"]
 UNKNOWN_ARTICLE = "UNKNOWN_PRODUCT"
 UNKNOWN_REF = "UNKNOWN_REF"
 
+# --- fixed values: alert wording --------------------------------------------------------------------------------
+STOP_TYPE = "LINE STOP (>10min)"
+RETURN_TYPE = "GLOBAL_RETURN"
+STOP_LINE_TEXT = "UNEXPECTED STOP"
+STOP_MESSAGE = "STOP DETECTED: %s has been inactive for %d minutes (last product: %s)"
+RETURN_MESSAGE = "GLOBAL RETURN: %s — previously on %s (ended %s, gap %.1fh)"
+SUBJECT = "ALERT: %s — %s"
+
 # --- scale settings (ours) --------------------------------------------------------------------------------------
 SLICE_SECONDS = 60               # width of the time slices a line's history is cut into
 SLICE_TARGET_ROWS = 2_000_000    # slices above this are cut finer

@@ -95,8 +95,8 @@ def silent_lines(open_batches: DataFrame, now, zone: str = S.FACTORY_ZONE,
     gap = (now_us - last) / F.lit(1_000_000.0)
     return open_batches.where(due).select(
         "mqtt_topic", tx.virtual_topic(F.col("mqtt_topic"), F.col("linea")).alias("topic"),
-        F.lit("LINE STOP (>10min)").alias("alert_type"), F.col("article").alias("product"),
-        F.col("linea").alias("origin_line"), F.lit("UNEXPECTED STOP").alias("current_line"), "batch_instance_id",
+        F.lit(S.STOP_TYPE).alias("alert_type"), F.col("article").alias("product"),
+        F.col("linea").alias("origin_line"), F.lit(S.STOP_LINE_TEXT).alias("current_line"), "batch_instance_id",
         F.col("start_time").alias("prev_start"), F.col("end_time").alias("prev_end"), now.alias("curr_start"),
         gap.alias("gap_seconds"), tx.stop_message(F.col("linea"), F.col("article"), gap).alias("message"))
 
