@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from weighline import settings as S
 from weighline.functions import times
@@ -105,17 +105,23 @@ def fragment(df: DataFrame, article_col: str = "number_refactor", width_seconds:
     """Article runs per (line, slice): ``run`` counts them inside the slice."""
     rows, measures = _prepare(df, article_col, width_seconds)
     key = [*LINE, "slice_us"]
-    pieces = materialize(
-        rows.groupBy(*key, "article").agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"),
-                                          *_combine(measures)), "pieces")
-    per_slice = pieces.groupBy(*key).agg(F.count(F.lit(1)).alias("_articles"), F.sum("packages").alias("_rows"))
-    several = per_slice.where("_articles > 1")
-    n_several, n_hot, total = per_slice.agg(
-        F.count_if(F.col("_articles") > 1), F.count_if((F.col("_articles") > 1) & (F.col("_rows") > target)),
-        F.coalesce(F.sum("_rows"), F.lit(0))).first()
-
-    articles_in_slice = F.count(F.lit(1)).over(Window.partitionBy(*key))
-    runs = (pieces.withColumn("_articles", articles_in_slice).where("_articles = 1").drop("_articles")
+    per_slice = Window.partitionBy(*key)
+    first = F.min("article").over(per_slice) == F.col("article")
+    pieces = (rows.groupBy(*key, "article")
+              .agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"), *_combine(measures))
+              .withColumns({"_articles": F.count(F.lit(1)).over(per_slice), "_rows": F.sum("packages").over(per_slice),
+                            "_first": first}))
+    # The sizes that decide the next steps are counted while the pieces are written.
+    sizes, is_several = Observation(), F.col("_first") & (F.col("_articles") > 1)
+    pieces = materialize(pieces.observe(
+        sizes, F.count_if(is_several).alias("several"),
+        F.count_if(is_several & (F.col("_rows") > target)).alias("hot"),
+        F.coalesce(F.sum("packages"), F.lit(0)).alias("total")), "pieces")
+    counted = sizes.get
+    n_several, n_hot, total = counted["several"], counted["hot"], counted["total"]
+    several = pieces.where(is_several).select(*key, "_rows")
+
+    runs = (pieces.where("_articles = 1").drop("_articles", "_rows", "_first")
             .withColumn("run", F.lit(1)).withColumn("start_identity", F.lit(None).cast("bigint")))
     slicing = sl.Slicing(tuple(LINE), width_seconds)
     if n_several:

@@ -36,9 +36,9 @@ m AS (SELECT w.*, coalesce(a.name, 'UNKNOWN_PRODUCT') AS article,
       FROM w LEFT JOIN (VALUES ('A-100', 'Alpha Mix'), ('A-101', 'Beta Mix'), ('A-102', 'Gamma (Mix)'),
                                ('A-103', 'Delta/Mix')) a(code, name) ON w.article_number = a.code)"""
 
-_LINE = "PARTITION BY mqtt_topic, linea ORDER BY timestamp, identity"
+_LINE = "PARTITION BY mqtt_topic, linea ORDER BY timestamp, identity, article"
 
-SEG = M + f""",
+_STEPS = f""",
 s1 AS (SELECT *, lag(timestamp) OVER ({_LINE}) AS pt, lag(article) OVER ({_LINE}) AS pa,
         lead(timestamp) OVER ({_LINE}) AS nt FROM m),
 s2 AS (SELECT *, CASE WHEN pt IS NULL OR CAST(pt AS DATE) <> CAST(timestamp AS DATE) OR pa <> article THEN 'new_article'
@@ -51,14 +51,16 @@ b0 AS (SELECT mqtt_topic, linea, run, min(article) AS article, min(flag) AS reas
         CAST(sum(CASE WHEN quality_status = 'OK' THEN 1 ELSE 0 END) AS BIGINT) AS units_ok,
         CAST(sum(CASE WHEN quality_status = 'REJECTED' THEN 1 ELSE 0 END) AS BIGINT) AS units_rejected,
         sum(active_workers) AS workers_sum FROM s3 GROUP BY 1, 2, 3),
-b1 AS (SELECT *, row_number() OVER (PARTITION BY mqtt_topic, article ORDER BY start_time, linea, start_identity) AS seq,
+b1 AS (SELECT *, row_number() OVER (PARTITION BY mqtt_topic, article ORDER BY start_time, linea, run) AS seq,
         lead(start_time) OVER (PARTITION BY mqtt_topic, linea ORDER BY run) AS closed_at FROM b0),
 b AS (SELECT *, regexp_replace(printf('%s_%04d', article, seq), '[^\\p{{L}}\\p{{N}}._-]', '', 'g') AS batch_instance_id,
         CAST(start_time AS DATE) AS utc_date,
         coalesce(CAST(closed_at AS DATE) = CAST(start_time AS DATE), false) AS recorded FROM b1)"""
 
+SEG = M + _STEPS
+
 _CLOSED = """,
-c AS (SELECT *, row_number() OVER (PARTITION BY mqtt_topic, utc_date ORDER BY closed_at, linea, start_identity) AS rk
+c AS (SELECT *, row_number() OVER (PARTITION BY mqtt_topic, utc_date ORDER BY closed_at, linea, run) AS rk
       FROM b WHERE recorded),
 n AS (SELECT b.*, (SELECT count(*) FROM c WHERE c.mqtt_topic = b.mqtt_topic AND c.utc_date = b.utc_date
                    AND c.closed_at <= b.start_time) AS before FROM b WHERE reason = 'new_article'),
@@ -206,6 +208,12 @@ ORACLE["dedup_within"] = f"""WITH {W} SELECT mqtt_topic, count(*) AS records, CA
 _B = """mqtt_topic, linea, article, batch_instance_id, seq AS batch_sequence, reason, start_time, end_time, closed_at, recorded,
  CAST(utc_date AS VARCHAR) AS utc_date"""
 ORACLE["batches"] = f"""WITH {SEG} SELECT {_B}, packages, round(net_g / 1000, 4) AS kg, units_rejected FROM b"""
+ORACLE["batches_lineitem"] = f"""WITH li AS (SELECT *, l_orderkey * 8 + l_linenumber AS identity FROM lineitem),
+ m AS (SELECT identity, l_shipdate + to_seconds(identity % 86400) AS timestamp, 'factory/zone_' || (l_suppkey % 2) AS mqtt_topic,
+  'Line_' || ((l_suppkey // 2) % 6) AS linea, 'P-' || (l_partkey % 3) AS article, 1 AS active_workers,
+  l_quantity / 100 * 1000 AS clean_net_weight_g, CASE WHEN l_returnflag = 'R' THEN 'REJECTED' ELSE 'OK' END AS quality_status
+  FROM li){_STEPS} SELECT mqtt_topic, linea, article, seq AS batch_sequence, reason, start_time, end_time, closed_at, recorded,
+  packages, units_rejected FROM b"""
 ORACLE["article_changes"] = f"""WITH {SEG} SELECT mqtt_topic, linea, timestamp AS changed_at, pa AS previous_article, article
  FROM s1 WHERE pa IS NULL OR pa <> article"""
 ORACLE["weighings_with_batch"] = f"""WITH {SEG} SELECT s3.identity, mqtt_topic, linea, s3.timestamp, batch_instance_id,

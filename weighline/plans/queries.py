@@ -296,6 +296,14 @@ def batches(spark, sf_dir):
     return seg.batches.select(*ba.PUBLIC, "packages", F.round(F.col("net_g") / 1000, 4).alias("kg"), "units_rejected")
 
 
+@query
+def batches_lineitem(spark, sf_dir):
+    """Batches over a history of years: many short days per line."""
+    seg = ba.segment(tm.lineitem_weighings(spark, sf_dir))
+    return seg.batches.select("mqtt_topic", "linea", "article", "batch_sequence", "reason", "start_time", "end_time",
+                              "closed_at", "recorded", "packages", "units_rejected")
+
+
 @query
 def article_changes(spark, sf_dir):
     return ba.article_changes(mapped(spark, sf_dir))

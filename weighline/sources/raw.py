@@ -54,7 +54,7 @@ def _body() -> Column:
 def _wrapped() -> Column:
     """The payload as a JSON array: a lone object gets brackets."""
     trimmed = F.btrim(_body(), F.lit(" \t\r\n"))
-    return F.when(trimmed.startswith("["), trimmed).otherwise(F.concat(F.lit("["), trimmed, F.lit("]")))
+    return F.when(trimmed.startswith("[") | (trimmed == ""), trimmed).otherwise(F.concat(F.lit("["), trimmed, F.lit("]")))
 
 
 def _objects() -> Column:

@@ -53,6 +53,20 @@ def weighings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def lineitem_weighings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A longer history (years, twelve lines) from the lineitem table, already with article names."""
+    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
+    identity = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    at = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + (identity % 86400) * F.lit(1_000_000)
+    return li.select(
+        identity.alias("identity"), F.timestamp_micros(at).alias("timestamp"),
+        F.concat(F.lit("factory/zone_"), F.col("l_suppkey") % 2).alias("mqtt_topic"),
+        F.concat(F.lit("Line_"), F.floor(F.col("l_suppkey") / 2) % 6).alias("linea"),
+        F.concat(F.lit("P-"), F.col("l_partkey") % 3).alias("number_refactor"),
+        (F.col("l_quantity") / 100 * 1000).alias("clean_net_weight_g"),
+        F.when(F.col("l_returnflag") == "R", "REJECTED").otherwise("OK").alias("quality_status"))
+
+
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records as JSON text in the shapes devices send them, including broken ones.
 
