@@ -67,6 +67,19 @@ def test_against_brute_force(spark, make, seed, target):
     assert per == {(b["topic"], f'{b["article"]}_{b["seq"]:04d}'): b["n"] for b in brute.batches(rows)}
 
 
+def test_shuffled_paths_give_the_same(spark, monkeypatch):
+    """With the broadcast limit at zero every lookup of slices goes through a (salted) shuffle."""
+    from weighline.operators import slices as sl
+    monkeypatch.setattr(sl.only, "__defaults__", (64, -1))
+    monkeypatch.setattr(sl.sized, "__defaults__", (-1,))
+    rows = crowded(11)
+    df = frame(spark, rows)
+    for target in (50, 10 ** 6):
+        seg = ba.segment(df, target=target)
+        assert got_batches(seg) == want_batches(rows)
+        assert ba.with_batches(df, seg).where("batch_instance_id is null").count() == 0
+
+
 @pytest.mark.parametrize("cap,block,seed", [(50, 1000, 1), (5, 5, 2), (3, 7, 6), (1, 1, 7)])
 def test_returns(spark, cap, block, seed):
     rows = scattered(seed, 500, lines=4)

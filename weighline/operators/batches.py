@@ -116,6 +116,7 @@ def fragment(df: DataFrame, article_col: str = "number_refactor", width_seconds:
     pieces = materialize(pieces.observe(
         sizes, F.count_if(is_several).alias("several"),
         F.count_if(is_several & (F.col("_rows") > target)).alias("hot"),
+        F.count_if(F.col("_first") & (F.col("_rows") > target)).alias("big"),
         F.coalesce(F.sum("packages"), F.lit(0)).alias("total")), "pieces")
     counted = sizes.get
     n_several, n_hot, total = counted["several"], counted["hot"], counted["total"]
@@ -126,13 +127,13 @@ def fragment(df: DataFrame, article_col: str = "number_refactor", width_seconds:
     slicing = sl.Slicing(tuple(LINE), width_seconds)
     if n_several:
         usual = several.where(F.col("_rows") <= target).select(*key)
-        rows_in = rows.join(sl.sized(usual, n_several - n_hot), key, "left_semi")
+        rows_in = sl.only(rows, usual, key, n_several - n_hot, counted["big"] > 0, "us")
         runs = runs.unionByName(_runs(rows_in, measures))
     if n_hot:
         # Crowded minutes with several articles: equal records collapse first, then the minute is cut finer.
         crowded = several.where(F.col("_rows") > target).select(*key)
         points = materialize(
-            rows.join(sl.sized(crowded, n_hot), key, "left_semi")
+            sl.only(rows, crowded, key, n_hot, True, "us")
             .groupBy(*LINE, "us", "identity", "article").agg(*_combine(measures)), "points")
         points, slicing = sl.refine(points, LINE, "us", width_seconds=width_seconds, target=target)
         runs = runs.unionByName(_runs(points, measures))

@@ -35,6 +35,22 @@ def sized(df: DataFrame, rows: int, limit: int = S.BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df
 
 
+def only(rows: DataFrame, keep: DataFrame, key: list[str], n_keep: int, skewed: bool, salt_col: str,
+         salts: int = 64, limit: int = S.BROADCAST_ROWS) -> DataFrame:
+    """Rows whose key is in ``keep``.
+
+    A counted, small ``keep`` is broadcast.  Otherwise both sides are shuffled; when some key is known to hold very many
+    rows, they are spread over ``salts`` parts of it and ``keep`` is repeated for each.
+    """
+    if n_keep <= limit:
+        return rows.join(F.broadcast(keep), key, "left_semi")
+    if not skewed:
+        return rows.join(keep, key, "left_semi")
+    salted = keep.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
+    return (rows.withColumn("_salt", F.pmod(F.col(salt_col), F.lit(salts)))
+            .join(salted, [*key, "_salt"], "left_semi").drop("_salt"))
+
+
 @dataclass(frozen=True)
 class Level:
     """Slices that were too full at one step, and the width they are cut to."""

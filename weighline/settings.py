@@ -82,5 +82,5 @@ SUBJECT = "ALERT: %s — %s"
 
 # --- scale settings (ours) --------------------------------------------------------------------------------------
 SLICE_SECONDS = 60               # width of the time slices a line's history is cut into
-SLICE_TARGET_ROWS = 2_000_000    # slices above this are cut finer
-BROADCAST_ROWS = 200_000         # a side is broadcast only when its counted rows stay below this
+SLICE_TARGET_ROWS = 4_000_000    # slices above this are cut finer
+BROADCAST_ROWS = 500_000         # a side is broadcast only when its counted rows stay below this
