@@ -320,7 +320,12 @@ def recent_batches(batches: DataFrame, k: int = S.HISTORY_CAP) -> DataFrame:
             .where(F.col("recency") <= k))
 
 
-def late_rows(df: DataFrame, last_seen: DataFrame) -> DataFrame:
-    """Records older than the newest time already processed on their line (``last_seen``: line, ``last_time``)."""
-    seen = last_seen.select(*LINE, "last_time")
-    return df.join(seen, LINE).where(F.col("timestamp") < F.col("last_time")).drop("last_time")
+def split_late(df: DataFrame, newest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records in time, and those older than the newest time already processed on their line.
+
+    ``newest`` has one row per line (``last_time``).
+    """
+    seen = newest.select(*LINE, "last_time")
+    marked = df.join(sl.sized(seen, seen.count()), LINE, "left")
+    late = F.coalesce(F.col("timestamp") < F.col("last_time"), F.lit(False))
+    return marked.where(~late).drop("last_time"), marked.where(late).drop("last_time")

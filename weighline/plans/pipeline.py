@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from weighline import settings as S
 from weighline.operators import (alerts as al, batches as ba, clean as cl, dedup as dd, enrich as en, outputs as ou,
-                                 reports as rp, returns as rt, slices as sl, stops as st)
+                                 reports as rp, returns as rt, stops as st)
 from weighline.session import materialize
 from weighline.sinks import tables as tb
 from weighline.sources import lookups as lk, raw as rw
@@ -90,10 +90,7 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
     if state is None:
         on_time, late = rows, rows.where("false")
     else:
-        seen = state.open_batches.select("mqtt_topic", "linea", F.col("end_time").alias("last_time"))
-        marked = rows.join(sl.sized(seen, seen.count()), ["mqtt_topic", "linea"], "left")
-        is_late = F.coalesce(F.col("timestamp") < F.col("last_time"), F.lit(False))
-        on_time, late = marked.where(~is_late).drop("last_time"), marked.where(is_late).drop("last_time")
+        on_time, late = ba.split_late(rows, state.open_batches.withColumnRenamed("end_time", "last_time"))
 
     seg = ba.segment(on_time.select("mqtt_topic", "linea", "timestamp", "identity", "number_refactor",
                                     "clean_net_weight_g", "quality_status", "active_workers", "lag_seconds"),
