@@ -19,7 +19,7 @@ from weighline.operators import outputs as ou  # noqa: E402
 from weighline.session import build_session  # noqa: E402
 from weighline.sources import telemetry as tm  # noqa: E402
 
-HEADLINE = ["ingest_parse", "clean_weighings", "dead_letters", "dedup_identity", "enrich_targets", "batches",
+HEADLINE = ["ingest_parse", "clean_weighings", "dead_letters", "dedup_identity", "enrich_targets", "batches", "batches_lineitem",
             "weighings_with_batch", "return_alerts", "stop_alerts", "daily_report", "kpi_minute", "kpi_shift",
             "kpi_batch", "hot_rows", "hot_upsert", "cold_rows", "archive_manifest", "alert_routing", "write_summary"]
 

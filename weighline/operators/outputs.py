@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weighline import settings as S
 from weighline.functions import numbers, text as tx, times
+from weighline.session import materialize
 
 _FILL = {"mqtt_topic": "unknown", "batch_code": "no_batch", "linea": "unknown", "batch_instance_id": "unknown"}
 
@@ -164,14 +165,18 @@ def archive_manifest(df: DataFrame, zone: str = S.FACTORY_ZONE) -> DataFrame:
 def write_summary(hot: DataFrame, names_up_to: int = 3) -> DataFrame:
     """Per topic: rows, rejects, line names, batches (names up to ``names_up_to``, else their number), identity range.
 
-    Lines and batches are made distinct first; batch names are collected from at most ``names_up_to`` rows per topic.
+    The hot rows are read once, into one row per (topic, line, batch); names are collected from distinct lines and from
+    at most ``names_up_to`` batches per topic.
     """
-    base = hot.groupBy("mqtt_topic").agg(
-        F.count(F.lit(1)).alias("records"), F.count_if(F.col("quality_status") == "REJECTED").alias("rejects"),
-        F.min("identity").alias("min_identity"), F.max("identity").alias("max_identity"))
+    parts = materialize(hot.groupBy("mqtt_topic", "linea", "batch_instance_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("quality_status") == "REJECTED").alias("r"),
+        F.min("identity").alias("low"), F.max("identity").alias("high")), "summary")
+    base = parts.groupBy("mqtt_topic").agg(
+        F.sum("n").alias("records"), F.sum("r").alias("rejects"), F.min("low").alias("min_identity"),
+        F.max("high").alias("max_identity"))
     names = lambda col: F.array_join(F.array_sort(F.collect_list(col)), ",")
-    lines = hot.select("mqtt_topic", "linea").distinct().groupBy("mqtt_topic").agg(names("linea").alias("lines"))
-    distinct = hot.select("mqtt_topic", "batch_instance_id").distinct()
+    lines = parts.select("mqtt_topic", "linea").distinct().groupBy("mqtt_topic").agg(names("linea").alias("lines"))
+    distinct = parts.select("mqtt_topic", "batch_instance_id").distinct()
     w = Window.partitionBy("mqtt_topic").orderBy("batch_instance_id")
     few = (distinct.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= names_up_to)
            .groupBy("mqtt_topic").agg(names("batch_instance_id").alias("_names")))

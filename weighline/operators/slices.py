@@ -159,10 +159,8 @@ def ordered_positions(df: DataFrame, order: str, pos: str, total: str) -> DataFr
     Rows are range-partitioned and sorted; a row's place is its place in the partition plus the sizes of the earlier
     partitions.  The offsets table has one row per partition.
     """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     sorted_rows = (df.withColumn("_tie", F.monotonically_increasing_id())
-                   .repartitionByRange(parts, order, "_tie").sortWithinPartitions(order, "_tie").drop("_tie")
+                   .repartitionByRange(order, "_tie").sortWithinPartitions(order, "_tie").drop("_tie")
                    .withColumn("_id", F.monotonically_increasing_id()))
     rows = materialize(sorted_rows, "ordered")
     part, place = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
