@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,21 @@ def text_of(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors this package, once per application; Spark copies it to them from the driver."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with batches of few rows, so that a task's memory does not follow the longest partition."""
+    ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 

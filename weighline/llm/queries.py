@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weighline.llm import common as C, packing, token_files
+from weighline.llm import common as C, exact_dedup, packing, secrets, token_files
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 END_ID, SEQUENCE_TOKENS = 1, 4096
@@ -21,6 +21,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, files)
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(C.documents(spark, sf_dir))[0]
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(C.documents(spark, sf_dir))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path(WORD_TOKENIZER), END_ID, SEQUENCE_TOKENS)
 
@@ -29,5 +37,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(C.documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op8_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_secrets, op8_packing)}
+
+ORACLE: dict[str, str] = {
+    "op2_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = max(doc_id) OVER g AS kept,
+               sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+}
