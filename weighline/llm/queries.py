@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weighline.llm import bpe, common as C, exact_dedup, language_id, language_model, order_minhash, packing, secrets, token_files
+from weighline.llm import bpe, common as C, exact_dedup, language_id, language_model, order_minhash, packing, repeats, secrets, token_files
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 END_ID, SEQUENCE_TOKENS = 1, 4096
@@ -53,7 +53,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(C.documents(spark, sf_dir), public_tokenizers.path(BYTE_TOKENIZER))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_secrets, op4_language_id, op6_order_minhash, op7_language_model, op8_packing, op9_bpe)}
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(C.documents(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_secrets, op4_language_id, op6_order_minhash, op7_language_model, op8_packing, op9_bpe, op10_repeats)}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": """
