@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from weighline.llm import bpe, common as C, exact_dedup, language_id, language_model, order_minhash, packing, repeats, secrets, token_files
+from weighline.llm import bpe, common as C, exact_dedup, language_id, language_model, near_dedup, order_minhash, packing, repeats, secrets, token_files
 
 WORD_TOKENIZER, BYTE_TOKENIZER = "word_bpe_49k.json", "byte_bpe_50k.json"
 END_ID, SEQUENCE_TOKENS = 1, 4096
@@ -33,6 +33,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(C.documents(spark, sf_dir))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(C.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare_next(C.documents(spark, sf_dir))
 
@@ -57,7 +61,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove(C.documents(spark, sf_dir))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_secrets, op4_language_id, op6_order_minhash, op7_language_model, op8_packing, op9_bpe, op10_repeats)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_token_files, op2_exact_dedup, op3_secrets, op4_language_id, op5_near_dedup, op6_order_minhash, op7_language_model, op8_packing, op9_bpe, op10_repeats)}
 
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": """

@@ -41,7 +41,7 @@ PART = 1 << 22
 _LOW = -(1 << 63)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BYTES = C.mix64(np.arange(1, 257, dtype=np.uint64))  # every byte as a 64-bit number
+BYTES = C.mix64(np.arange(1, 257, dtype=np.uint64))  # every byte as a 64-bit number
 
 _RUN = pa.schema([("id", pa.int64()), ("tk", pa.int64()), ("s", pa.int64()), ("run", pa.int32()), ("off", pa.int32()), ("h1", pa.int64()),
                   ("h2", pa.int64()), ("rid", pa.int64())])
@@ -97,7 +97,7 @@ def runs(data: np.ndarray, valid: np.ndarray, window: int, gram: int):
     """Runs of windows with one anchor: (first start, length, offset of the anchor in it, anchor hash, run hash).
 
     ``valid``: which starts have a whole window inside one document."""
-    x = _BYTES[data]
+    x = BYTES[data]
     h = gram_hashes(x, gram)
     low = np.uint64(max(1, len(h).bit_length()))
     mask = (np.uint64(1) << low) - np.uint64(1)
@@ -309,7 +309,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for b in batches:
             for h1, i, tk, s, run, off, raw in zip(*(c.to_pylist() for c in b.columns)):
                 at = np.arange(run)
-                hashes = RangeHash(_BYTES[np.frombuffer(raw, np.uint8)]).of(at, at + window)
+                hashes = RangeHash(BYTES[np.frombuffer(raw, np.uint8)]).of(at, at + window)
                 yield C.batch(counted_schema, h1=np.full(run, h1), off=(off - at).astype(np.int32), w=hashes.view(np.int64),
                               id=np.full(run, i), tk=np.full(run, tk), s=s + at)
 
