@@ -80,6 +80,12 @@ def partitions_for(spark: SparkSession, amount: float, per_partition: float) ->
     return max(least, int(-(-amount // per_partition)))
 
 
+def one_each(marked: DataFrame, found: DataFrame, same: Column, key: list[str], columns: list[str]) -> DataFrame:
+    """Rows of ``marked`` that ``found`` names, one for each ``key``.  The join has already brought a key's rows together,
+    so the second step needs no further shuffle."""
+    return marked.join(found, same, "left_semi").dropDuplicates(key).select(*columns)
+
+
 def sha(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 

@@ -173,3 +173,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = index.select("rep", "keep_id", "keep_row", "group_size")
     return (members.join(found, "rep").select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
                                               "text_sha256"), index)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows that stay, with all their columns; of rows repeated with one id, any one."""
+    found = exact_dedup(docs, id_col, text_col)[0].where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__of"))
+    marked = docs.withColumn("__sha", F.sha2(C.text_of(text_col).cast("binary"), 256))
+    return C.one_each(marked, found, (marked["__sha"] == found["__of"]) & marked[id_col].eqNullSafe(found["__id"]), [id_col, "__sha"], docs.columns)

@@ -36,6 +36,8 @@ LETTER = re.compile(r"[^\W\d_]")
 CHUNK = 1 << 20
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
+#: Columns added to kept ones; names that no input is expected to have.
+FOUND = ("__lang_pred", "__lang_score")
 OUT_SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
@@ -180,8 +182,8 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[s
 
 def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None,
             model: Model | None = None) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every document; with ``keep``, these columns of the input instead,
-    followed by ``lang_pred`` and ``score``."""
+    """doc_id, held_out, lang_pred and score of every document; with ``keep``, these columns of the input, followed by
+    ``__lang_pred`` and ``__lang_score``."""
     model = model or learn(sample(docs, id_col, text_col, lang_col))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -195,11 +197,11 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
     if keep is None:
         source = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-        schema, names = OUT_SCHEMA, ["doc_id", "held_out"]
+        schema, names, last = OUT_SCHEMA, ["doc_id", "held_out"], ("lang_pred", "score")
     else:
         source = docs.select(*keep)
-        fields = [f for f in source.schema.fields]
-        schema, names = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "lang_pred string", "score double"]), keep
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields), *(f"{n} {t}" for n, t in zip(FOUND, ("string", "double")))])
+        names, last = keep, FOUND
     place = source.columns.index("text" if keep is None else text_col)
 
     def run(batches):
@@ -209,6 +211,12 @@ def predict(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
             found = [one(t) for t in b.column(place).to_pylist()]
             columns = [b.column(b.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                                             names=[*names, "lang_pred", "score"])
+                                             names=[*names, *last])
 
     return C.map_arrow(source, run, schema)
+
+
+def keep_known(docs: DataFrame, least_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose language could be told: not ``und``, and the winner at least as likely as ``least_score``."""
+    found = predict(docs, id_col, text_col, lang_col, keep=docs.columns)
+    return found.where((F.col(FOUND[0]) != UNKNOWN) & (F.col(FOUND[1]) >= least_score)).select(*docs.columns)

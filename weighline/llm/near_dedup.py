@@ -340,3 +340,10 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80, id_col: str =
     component = F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
                          ((F.col("n") == 0) | (F.col("rid") == F.col("first"))).alias("stays"), "tk")
+
+
+def keep_one(docs: DataFrame, size: int = 2, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of every component, that with the smallest id, with all its columns."""
+    found = near_dedup(docs, size, percent, id_col, text_col).where("stays").select(F.col("doc_id").alias("__id"), F.col("tk").alias("__of"))
+    marked = docs.withColumn("__tk", F.xxhash64(C.text_of(text_col)))
+    return C.one_each(marked, found, (marked["__tk"] == found["__of"]) & marked[id_col].eqNullSafe(found["__id"]), [id_col, "__tk"], docs.columns)

@@ -197,8 +197,9 @@ def redacted(text: str, mark: str = "[secret]") -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The same rows with secrets replaced; a null text stays null."""
+def redact(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """The same rows with secrets replaced, and their number of characters, where there is such a column; a null text
+    stays null."""
     place = docs.columns.index(text_col)
 
     def run(batches):
@@ -206,4 +207,8 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
             texts = [None if t is None else redacted(t) for t in b.column(place).to_pylist()]
             yield b.set_column(place, b.schema.field(place), pa.array(texts, type=b.schema.field(place).type))
 
-    return C.map_arrow(docs, run, docs.schema)
+    out = C.map_arrow(docs, run, docs.schema)
+    if chars_col in docs.columns:
+        kind = docs.schema[chars_col].dataType
+        out = out.withColumn(chars_col, F.coalesce(F.length(text_col).cast(kind), F.col(chars_col)))
+    return out
