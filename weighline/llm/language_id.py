@@ -114,6 +114,8 @@ def learn(texts: dict[str, list[bytes]]) -> Model:
     different, has probability n / (t + d); leaving the context has d / (t + d); an unseen context is left for free."""
     languages = sorted(texts)
     model = Model(languages)
+    if not languages:
+        return model
     counts: list[list[tuple[np.ndarray, np.ndarray]]] = []
     for lang in languages:
         parts = [np.frombuffer(b"\0\0\0" + t, np.uint8) for t in texts[lang]]

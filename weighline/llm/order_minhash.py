@@ -97,7 +97,7 @@ def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     count = rows.count()
     n = C.partitions_for(spark, count, RANGE_ROWS)
     bounds = rows.where("doc_id IS NOT NULL").approxQuantile("at", [i / n for i in range(1, n)], 0.25 / n) if count else []
-    splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
+    splits = [float("-inf"), *(sorted({float(b) for b in bounds}) or [0.0]), float("inf")]
     rows = (Bucketizer(splits=splits, inputCol="key", outputCol="range").transform(rows.withColumn("key", F.col("at").cast("double")))
             .select("doc_id", "text", "at", F.col("range").cast("int").alias("part")))
     # the first doc_id of every range that has rows: one row per range

@@ -113,7 +113,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
 
         def cut():
             offsets = np.cumsum([0, *(len(p) for p in parts[:-1])])
-            return C.batch(_BLOCK, shard=[shard], block=[number], first_id=[ids[0]], last_id=[ids[-1]],
+            named = [i for i in ids if i is not None] or [None]
+            return C.batch(_BLOCK, shard=[shard], block=[number], first_id=[named[0]], last_id=[named[-1]],
                            tokens_before=[before], n_tokens=[sum(lengths)], width=[width], dictionary_hash=[name],
                            doc_ids=[ids], offsets=[offsets], lengths=[lengths], frames=[b"".join(parts)])
 
