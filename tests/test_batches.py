@@ -146,3 +146,15 @@ def test_invariants(spark, items):
     assert sum(b.packages for b in bs) == len(rows)
     assert len({(b.mqtt_topic, b.article, b.batch_sequence) for b in bs}) == len(bs)
     assert got_batches(seg) == want_batches(rows)
+
+
+def test_alternating_minute_is_linear(spark):
+    """100,000 records of one minute, every one with another article than the one before."""
+    n = 100_000
+    df = spark.range(n).selectExpr(
+        "'t' AS mqtt_topic", "'L' AS linea", "timestamp_micros(1700000040000000 + id * 500) AS timestamp", "id AS identity",
+        "concat('A', id % 2) AS number_refactor")
+    out = ba.with_batches(df, ba.segment(df))
+    got = out.selectExpr("count(*) AS n", "count(DISTINCT batch_instance_id) AS ids", "count_if(batch_start_time = timestamp) AS own",
+                         "count_if(batch_sequence = identity div 2 + 1) AS numbered").first()
+    assert tuple(got) == (n, n, n, n)

@@ -73,7 +73,23 @@ def test_dedup_and_watermark(spark):
     assert {r.mqtt_topic: (r.last_identity, r.record_count) for r in w.collect()} == {"t": (1001, 3), "new": (1, 1)}
     assert dd.ingest_summary(w).first().topics_tracked == 2
     merged = dd.merge_watermark(w, dd.ingest_watermark(df.where("identity = 999")))
-    assert {r.mqtt_topic: r.last_identity for r in merged.collect()} == {"t": 999, "new": 1}
+    assert {r.mqtt_topic: r.last_identity for r in merged.collect()} == {"t": 1001, "new": 1}
+
+
+def test_watermark_never_moves_back(spark):
+    schema = "mqtt_topic string, identity bigint, timestamp timestamp, record_uuid string"
+    at = lambda h: DAY.replace(hour=h)
+    mark = lambda *rows: dd.ingest_watermark(spark.createDataFrame([("t", *r, None) for r in rows], schema))
+    old = mark((5000, at(10)))
+    late = dd.merge_watermark(old, mark((10, at(8))))
+    assert [r.last_identity for r in late.collect()] == [5000]
+    resent = spark.createDataFrame([("t", 4990, at(10), None)], schema)
+    assert dd.dedup(resent, late).count() == 0
+    restarted = dd.merge_watermark(old, mark((3, at(11))))
+    assert [r.last_identity for r in restarted.collect()] == [3]
+    # an unreadable counter on the newest record does not reset the watermark, unless there is nothing else
+    assert [r.last_identity for r in mark((5000, at(10)), (0, at(11))).collect()] == [5000]
+    assert [r.last_identity for r in mark((0, at(11))).collect()] == [0]
 
 
 def test_hot(spark, tmp_path):

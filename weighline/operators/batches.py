@@ -22,18 +22,16 @@ from weighline.operators import slices as sl
 from weighline.session import materialize, require_utc
 
 LINE = ["mqtt_topic", "linea"]
-LAG_SCALE = 10 ** 15
 _NEW, _TIMEOUT = 1, 2
 
 
 @dataclass(frozen=True)
 class Fragments:
-    """Result of :func:`fragment`; ``total_rows`` is the counted number of records."""
+    """Result of :func:`fragment`."""
 
     runs: DataFrame
     slicing: sl.Slicing
     measures: dict[str, str]
-    total_rows: int
 
 
 @dataclass(frozen=True)
@@ -61,11 +59,9 @@ def _measures(df: DataFrame) -> dict[str, tuple[str, Column]]:
     if "active_workers" in have:
         out["workers_sum"] = ("sum", F.col("active_workers").cast("bigint"))
     if "lag_seconds" in have:
-        # Time and lag in one number, so that "lag of the last record" is a plain maximum.
-        lag_us = F.least(F.coalesce(F.col("lag_seconds"), F.lit(0.0)) * 1_000_000, F.lit(float(LAG_SCALE - 1)))
-        out["last_lag"] = ("max", (times.micros(F.col("timestamp")).cast("decimal(20,0)") * F.lit(LAG_SCALE)
-                                   .cast("decimal(16,0)") + F.round(lag_us).cast("decimal(16,0)"))
-                           .cast("decimal(38,0)"))
+        # The lag of the last record is the greatest pair (time, lag).
+        out["last_lag"] = ("max", F.struct(times.micros(F.col("timestamp")).alias("us"),
+                                           F.coalesce(F.col("lag_seconds"), F.lit(0.0)).alias("seconds")))
     return out
 
 
@@ -116,10 +112,9 @@ def fragment(df: DataFrame, article_col: str = "number_refactor", width_seconds:
     pieces = materialize(pieces.observe(
         sizes, F.count_if(is_several).alias("several"),
         F.count_if(is_several & (F.col("_rows") > target)).alias("hot"),
-        F.count_if(F.col("_first") & (F.col("_rows") > target)).alias("big"),
-        F.coalesce(F.sum("packages"), F.lit(0)).alias("total")), "pieces")
+        F.count_if(F.col("_first") & (F.col("_rows") > target)).alias("big")), "pieces")
     counted = sizes.get
-    n_several, n_hot, total = counted["several"], counted["hot"], counted["total"]
+    n_several, n_hot = counted["several"], counted["hot"]
     several = pieces.where(is_several).select(*key, "_rows")
 
     runs = (pieces.where("_articles = 1").drop("_articles", "_rows", "_first")
@@ -138,7 +133,7 @@ def fragment(df: DataFrame, article_col: str = "number_refactor", width_seconds:
         points, slicing = sl.refine(points, LINE, "us", width_seconds=width_seconds, target=target)
         runs = runs.unionByName(_runs(points, measures))
     runs = runs.withColumn("day", sl.day_of(F.col("slice_us")))
-    return Fragments(materialize(runs, "runs") if n_several else runs, slicing, measures, total)
+    return Fragments(materialize(runs, "runs") if n_several else runs, slicing, measures)
 
 
 def _chain(runs: DataFrame, max_gap_seconds: int, zone: str) -> DataFrame:
@@ -193,8 +188,7 @@ def segment(df: DataFrame, article_col: str = "number_refactor", max_gap_seconds
                     .alias("reason_code"),
                     F.max("seed_sequence").alias("seed_sequence"), *_combine(measures)))
     plain = materialize(grouped, "batches")
-    small = frag.total_rows <= target
-    return Segments(chained, _number(plain, counters, target, small, open_batches is not None), frag.slicing, measures)
+    return Segments(chained, _number(plain, counters, target, open_batches is not None), frag.slicing, measures)
 
 
 def _seed_runs(open_batches: DataFrame, measures: dict[str, str]) -> DataFrame:
@@ -209,13 +203,9 @@ def _seed_runs(open_batches: DataFrame, measures: dict[str, str]) -> DataFrame:
         F.when(F.col("reason") == "timeout", _TIMEOUT).otherwise(_NEW).alias("seed_reason"))
 
 
-def _number(plain: DataFrame, counters: DataFrame | None, target: int, small: bool,
-            with_seeds: bool) -> DataFrame:
+def _number(plain: DataFrame, counters: DataFrame | None, target: int, with_seeds: bool) -> DataFrame:
     """Closing times, neighbours on the line, and the running number per (topic, article)."""
-    if small:  # fewer records than one slice may hold: nothing to refine
-        rows = plain.withColumn("bslice", sl.slice_of(F.col("start_us")))
-    else:
-        rows, _ = sl.refine(plain, ["mqtt_topic"], "start_us", "bslice", target=target)
+    rows, _ = sl.refine(plain, ["mqtt_topic"], "start_us", "bslice", target=target)
     order = ["start_us", "key_slice", "key_run"]
     about = ["start_us", "end_us", "article", "day", "key_slice", "key_run"]
     w = Window.partitionBy(*LINE, "bslice").orderBy(*order)
@@ -269,33 +259,40 @@ PUBLIC = ["mqtt_topic", "linea", "article", "batch_instance_id", "batch_sequence
 def with_batches(df: DataFrame, seg: Segments, article_col: str = "number_refactor") -> DataFrame:
     """Records with ``batch_instance_id``, ``batch_sequence`` and ``batch_start_time``.
 
-    The runs of a slice form one short sorted list; each record picks its run from the list of its own slice, so the
-    records meet one equi-join (which the optimizer may broadcast or split when skewed) and no window.
+    A slice with one run gives its batch to all its records by an equi-join (which the optimizer may broadcast or split
+    when skewed).  Only records of slices with several runs are sorted, together with the runs' first moments, and take
+    the last run that began before them: linear in records and runs, however often the article changes.
     """
-    ids = seg.batches.select(*LINE, "day", "key_slice", "key_run", "batch_instance_id", "batch_sequence",
-                             "start_time")
+    ids = seg.batches.select(*LINE, "day", "key_slice", "key_run", F.col("batch_instance_id").alias("_id"),
+                             F.col("batch_sequence").alias("_seq"), F.col("start_time").alias("_start"))
+    names = {"mqtt_topic": "_topic", "linea": "_line"}
+    at = F.struct("_id", "_seq", "_start")
     cuts = (seg.fragments.join(ids, [*LINE, "day", "key_slice", "key_run"])
-            .groupBy(*LINE, "slice_us")
-            .agg(F.sort_array(F.collect_list(F.struct(
-                "run", F.struct("first_us", "start_identity", F.col("article").alias("start_article")).alias("at"),
-                F.col("batch_instance_id").alias("id"), F.col("batch_sequence").alias("seq"),
-                F.col("start_time").alias("start")))).alias("_cuts")))
+            .select(F.col("mqtt_topic").alias("_topic"), F.col("linea").alias("_line"), F.col("slice_us").alias("_slice"),
+                    F.col("first_us").alias("_us"), F.col("start_identity").alias("_i"), F.col("article").alias("_a"),
+                    at.alias("_at")))
+    key = ["_topic", "_line", "_slice"]
+    lone = cuts.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_only"))
     keyed = (df.withColumn("_topic", F.coalesce("mqtt_topic", F.lit("unknown")))
              .withColumn("_line", F.coalesce("linea", F.lit("unknown")))
              .withColumn("_us", times.micros(F.col("timestamp"))))
-    names = {"mqtt_topic": "_topic", "linea": "_line"}
-    keyed = seg.slicing.renamed(names, "_slice").apply(keyed, F.col("_us"), "_slice")
-    cuts = cuts.withColumnsRenamed({**names, "slice_us": "_slice"})
-    here = F.struct("_us", F.coalesce(F.col("identity"), F.lit(0)).cast("bigint").alias("i"),
-                    F.coalesce(F.col(article_col).cast("string"), F.lit("unknown")).alias("a"))
-    picked = F.when(F.size("_cuts") == 1, F.col("_cuts")[0]).otherwise(
-        F.try_element_at(F.filter("_cuts", lambda c: c["at"] <= here), F.lit(-1)))
-    return (keyed.join(cuts, ["_topic", "_line", "_slice"], "left")
-            .withColumn("_cut", picked)
-            .withColumn("batch_instance_id", F.col("_cut.id"))
-            .withColumn("batch_sequence", F.col("_cut.seq"))
-            .withColumn("batch_start_time", F.col("_cut.start"))
-            .drop("_topic", "_line", "_us", "_slice", "_cuts", "_cut"))
+    keyed = (seg.slicing.renamed(names, "_slice").apply(keyed, F.col("_us"), "_slice").join(lone, key, "left"))
+    several = F.coalesce(F.col("_n") > 1, F.lit(False))
+    plain = keyed.where(~several).withColumn("_cut", F.col("_only"))
+    many = (keyed.where(several)
+            .withColumn("_i", F.coalesce(F.col("identity"), F.lit(0)).cast("bigint"))
+            .withColumn("_a", F.coalesce(F.col(article_col).cast("string"), F.lit("unknown")))
+            .withColumn("_record", F.lit(1)))
+    starts = cuts.join(lone.where("_n > 1").select(*key), key, "left_semi").withColumn("_record", F.lit(0))
+    # A run begins with its first record, so its start sorts just before that record.
+    order = Window.partitionBy(*key).orderBy("_us", "_i", "_a", "_record").rowsBetween(Window.unboundedPreceding, 0)
+    many = (many.unionByName(starts, allowMissingColumns=True)
+            .withColumn("_cut", F.last("_at", ignorenulls=True).over(order)).where("_record = 1"))
+    return (plain.unionByName(many.select(*plain.columns))
+            .withColumn("batch_instance_id", F.col("_cut._id"))
+            .withColumn("batch_sequence", F.col("_cut._seq"))
+            .withColumn("batch_start_time", F.col("_cut._start"))
+            .drop("_topic", "_line", "_us", "_slice", "_n", "_only", "_cut"))
 
 
 def article_changes(df: DataFrame, article_col: str = "number_refactor", **options) -> DataFrame:

@@ -32,16 +32,20 @@ def ingest_watermark(df: DataFrame, keys: tuple[str, ...] = ("mqtt_topic",)) ->
     """Per topic: counter, id and time of the latest record, and how many records there were.
 
     The latest record is the one with the highest (timestamp, identity), so the watermark follows a restarted counter.
+    A record without a readable counter (identity 0) counts as the latest only where no other has one.
     """
-    latest = F.max(F.struct("timestamp", "identity", F.coalesce("record_uuid", F.lit("unknown")).alias("record_uuid")))
+    entry = F.struct("timestamp", "identity", F.coalesce("record_uuid", F.lit("unknown")).alias("record_uuid"))
+    latest = F.coalesce(F.max(F.when(F.col("identity") > 0, entry)), F.max(entry))
     return (df.groupBy(*keys).agg(latest.alias("l"), F.count(F.lit(1)).alias("record_count"))
             .select(*keys, F.col("l.identity").alias("last_identity"), F.col("l.record_uuid").alias("last_uuid"),
                     F.col("l.timestamp").alias("last_timestamp"), "record_count"))
 
 
 def merge_watermark(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The new entry of every topic seen now, the old one of the others."""
-    return new.unionByName(old.join(new.select("mqtt_topic"), "mqtt_topic", "left_anti"))
+    """Per topic the later entry by (time, counter): late records never move a watermark back."""
+    fields = ["last_timestamp", "last_identity", "last_uuid", "record_count"]
+    return (old.select("mqtt_topic", *fields).unionByName(new.select("mqtt_topic", *fields)).groupBy("mqtt_topic")
+            .agg(F.max(F.struct(*fields)).alias("l")).select("mqtt_topic", *[f"l.{f}" for f in fields]))
 
 
 def ingest_summary(watermark: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weighline import settings as S
 from weighline.functions import text as tx, times
-from weighline.operators.batches import LAG_SCALE, LINE, Segments
+from weighline.operators.batches import LINE, Segments
 
 _SECOND = 1_000_000
 
@@ -48,7 +48,7 @@ def _tails(seg: Segments, zone: str) -> DataFrame:
 
 
 def last_lag_seconds(col: Column) -> Column:
-    return (F.pmod(col, F.lit(LAG_SCALE).cast("decimal(16,0)"))).cast("double") / 1_000_000
+    return F.coalesce(col["seconds"], F.lit(0.0))
 
 
 def _alerts(tails: DataFrame, batches: DataFrame, fire: Column, silence_until: Column, zone: str,

@@ -118,7 +118,7 @@ def next_state(batches: DataFrame, measures: dict[str, str], found: rt.Returns,
               .select(*ba.LINE, "article", "start_time", "end_time", "reason", "batch_sequence", "batch_instance_id",
                       *measures))
     counters = rp.article_counters(batches)
-    watermark = dd.ingest_watermark(rows)
+    watermark = dd.ingest_watermark(rows)  # late rows are older than what the state holds and cannot win below
     closed, history = found.closed_counts, found.closings
     if state is not None:
         kept = state.counters.join(counters.select("mqtt_topic", "article"), ["mqtt_topic", "article"], "left_anti")

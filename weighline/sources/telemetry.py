@@ -21,16 +21,10 @@ CONTACTS = {
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table with ``ts`` as a UTC instant."""
-    return (spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
+    return (spark.read.parquet(f"{sf_dir}/events.parquet")
             .withColumn("ts", F.col("ts").cast("timestamp")))
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use every core for a table stored in fewer splits than there are cores; larger tables stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < min(cores, 8) else df
-
-
 def _k():
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -55,7 +49,7 @@ def weighings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lineitem_weighings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A longer history (years, twelve lines) from the lineitem table, already with article names."""
-    li = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet"), "l_orderkey")
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     identity = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     at = F.unix_micros(F.col("l_shipdate").cast("timestamp")) + (identity % 86400) * F.lit(1_000_000)
     return li.select(
