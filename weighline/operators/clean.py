@@ -9,10 +9,10 @@ from weighline.functions import numbers, times
 from weighline.functions.text import clean_text
 
 
-def typed(records: DataFrame, decimal_comma: bool = True, zone: str = S.FACTORY_ZONE) -> DataFrame:
+def typed(records: DataFrame, decimal_comma: bool = True, zone: str = S.FACTORY_ZONE, keep: tuple[str, ...] = ()) -> DataFrame:
     """Canonical text columns to typed columns; nothing is dropped yet.
 
-    ``decimal_comma=False`` treats ``0,500`` as a bad number.
+    ``decimal_comma=False`` treats ``0,500`` as a bad number.  ``keep`` names further columns to carry along.
     """
     server = F.coalesce("creation_utc_text", "server_time_text")
     trimmed = records.withColumns({
@@ -30,7 +30,7 @@ def typed(records: DataFrame, decimal_comma: bool = True, zone: str = S.FACTORY_
         numbers.safe_double(F.col("reject_flag")).alias("reject_flag"),
         numbers.safe_bigint(F.col("active_workers")).cast("int").alias("active_workers"),
         times.parse_instant(F.col("_server"), F.col("received_at")).alias("server_time"),
-        "received_at",
+        "received_at", *keep,
     )
 
 

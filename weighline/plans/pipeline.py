@@ -5,6 +5,7 @@ Batch jobs call :func:`process` once; the stream calls it per micro-batch with t
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -12,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from weighline import settings as S
-from weighline.operators import (alerts as al, batches as ba, clean as cl, dedup as dd, enrich as en, outputs as ou,
-                                 reports as rp, returns as rt, stops as st)
+from weighline.operators import (alerts as al, batches as ba, clean as cl, dedup as dd, enrich as en, kpis as kp,
+                                 outputs as ou, reports as rp, returns as rt, stops as st)
 from weighline.session import materialize
 from weighline.sinks import tables as tb
 from weighline.sources import lookups as lk, raw as rw
@@ -34,6 +35,13 @@ class Lookups:
         return Lookups(lk.dim_workers(spark, workers), lk.dim_targets(spark, targets),
                        lk.dim_articles(spark, articles), lk.dim_contacts(spark, contacts))
 
+    @staticmethod
+    def kept(spark: SparkSession, folder: str, workers, targets, articles, contacts) -> "Lookups":
+        """The same, but a missing or unreadable file gives its last good copy, which is stored under ``folder``."""
+        return Lookups(*[lk.keep_good(spark, reader, source, f"{folder}/{name}") for reader, source, name in (
+            (lk.dim_workers, workers, "workers"), (lk.dim_targets, targets, "targets"),
+            (lk.dim_articles, articles, "articles"), (lk.dim_contacts, contacts, "contacts"))])
+
 
 @dataclass(frozen=True)
 class State:
@@ -79,13 +87,18 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
     ``more_follows``: the input is one part of a longer feed, so the silence after a line's newest record is still open
     and is reported by the part that ends it.
     """
-    heard = rw.subscribe(raw, topic_pattern)
-    typed = cl.typed(rw.parse(heard), zone=zone)
-    fresh = typed.where(cl.is_valid())
-    if state is not None:
-        fresh = dd.dedup(fresh, state.watermark)
-    # The cleaned records feed segmentation, the joins back and both outputs: written once, read by all.
-    rows = materialize(enrich(fresh, lookups, zone), "weighings")
+    # The raw source is read and parsed once: records, rejected records and dead letters all come from this table, which
+    # also feeds segmentation, the joins back and both outputs.
+    kept = ("net_weight_text", "timestamp_text", "topic", "data", "dead_reason")
+    parsed = rw.parse_all(rw.subscribe(raw, topic_pattern)).withColumns(
+        {"net_weight_text": F.col("net_weight"), "timestamp_text": F.col("timestamp")})
+    typed = cl.typed(parsed, zone=zone, keep=kept)
+    typed = dd.mark_new(typed, state.watermark) if state is not None else typed.withColumn("is_new", F.lit(True))
+    alive = F.col("dead_reason").isNull()
+    typed = typed.withColumn("data", F.when(~alive | ~cl.is_valid(), F.col("data")))  # the text of what was not read
+    everything = materialize(enrich(typed, lookups, zone), "records")
+    rejected = everything.where(alive & ~cl.is_valid()).withColumn("reason", cl.rejection())
+    rows = everything.where(alive & cl.is_valid() & F.col("is_new")).drop("topic", "data", "dead_reason", "is_new")
 
     if state is None:
         on_time, late = rows, rows.where("false")
@@ -105,8 +118,7 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
     is_return = F.col("alert_type") == S.RETURN_TYPE
     with_ids = ba.with_batches(on_time, seg)
     return Result(
-        dead_letters=rw.dead_letters(heard),
-        rejected=typed.where(~cl.is_valid()).withColumn("reason", cl.rejection()),
+        dead_letters=rw.letters_of(everything), rejected=rejected.drop("topic", "dead_reason", "is_new"),
         late=late, weighings=with_ids, batches=batches.select(*ba.PUBLIC, *seg.measures), returns=both.where(is_return),
         stops=both.where(~is_return), routed=al.route_alerts(both, lookups.contacts),
         state=next_state(batches, seg.measures, found, rows, state, cap))
@@ -161,9 +173,41 @@ def together(*jobs: Callable[[], None], threads: int = 4) -> None:
             done.result()
 
 
-def run_batch(raw: DataFrame, lookups: Lookups, root: str, **options) -> Result:
-    """Process everything at once and write all tables under ``root``."""
+def audit(result: Result, seconds: float) -> DataFrame:
+    """Messages by topic and status, with the component and error of those that were not processed."""
+    def counted(df: DataFrame, topic: str, status: str, error: str | None, component: str) -> DataFrame:
+        kind = F.col(error) if error else F.lit(None).cast("string")
+        return (df.groupBy(F.col(topic).alias("topic"), kind.alias("error_type")).agg(F.count(F.lit(1)).alias("messages"))
+                .withColumn("status", F.lit(status)).withColumn("component", F.lit(component)))
+
+    return (counted(result.weighings, "mqtt_topic", "ok", None, "pipeline")
+            .unionByName(counted(result.late, "mqtt_topic", "late", None, "pipeline"))
+            .unionByName(counted(result.rejected, "mqtt_topic", "rejected", "reason", "cleaner"))
+            .unionByName(counted(result.dead_letters, "topic", "dead_letter", "reason", "parser"))
+            .withColumn("seconds", F.lit(seconds)))
+
+
+def write_reports(result: Result, root: str, epoch: int, seconds: float, zone: str = S.FACTORY_ZONE) -> None:
+    """Daily report of the batches that closed in this run, the archive's manifest, and the run's audit."""
+    closed = result.batches.where("recorded")
+    archived = result.weighings.unionByName(result.late, allowMissingColumns=True)
+    together(lambda: tb.write_daily_report(closed, f"{root}/daily_production", zone, epoch),
+             lambda: tb.write_table(ou.archive_manifest(archived), f"{root}/archive_manifest", epoch),
+             lambda: tb.write_table(audit(result, seconds), f"{root}/audit", epoch))
+
+
+def run_batch(raw: DataFrame, lookups: Lookups, root: str, run: int = 0, **options) -> Result:
+    """Process everything at once and write all tables under ``root``.
+
+    Every table goes to the folder of ``run`` and replaces what an earlier attempt of that run left, so a repeated job
+    changes nothing; different inputs under one root need different runs.
+    """
+    started = time.monotonic()
     result = process(raw, lookups, **options)
-    write_result(result, root)
-    tb.write_daily_report(result.batches, f"{root}/daily_production")
+    write_result(result, root, epoch=run)
+    write_reports(result, root, run, time.monotonic() - started)
+    done = result.weighings
+    together(lambda: tb.write_table(kp.kpi_window(done, "1 minute"), f"{root}/kpi_minute", run),
+             lambda: tb.write_table(kp.kpi_shift(done), f"{root}/kpi_shift", run),
+             lambda: tb.write_table(kp.kpi_batch(result.batches), f"{root}/kpi_batch", run))
     return result

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weighline import settings as S
@@ -13,8 +14,15 @@ def _text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def _read(col, schema: str):
+    """The parsed document; a text that is no such document fails the query instead of reading as nothing."""
+    parsed = F.from_json(col, schema)
+    bad = F.try_parse_json(col).isNull() | parsed.isNull()
+    return F.when(~bad, parsed).otherwise(F.raise_error(F.lit("a lookup file is not a JSON document of the expected form")))
+
+
 def _entries(df: DataFrame, json_col, key: str, value: str) -> DataFrame:
-    return (df.select(F.explode(F.map_entries(F.from_json(json_col, "map<string,string>"))).alias("e"))
+    return (df.select(F.explode(F.map_entries(_read(json_col, "map<string,string>"))).alias("e"))
             .select(F.btrim("e.key").alias(key), F.col("e.value").alias(value))
             .dropDuplicates([key]))
 
@@ -48,7 +56,7 @@ def dim_articles(spark: SparkSession, source) -> DataFrame:
         rows.append((None, source.get("default", "UNKNOWN")))
         return literal_rows(spark, rows, ["article_code", "mapped_name"])
     doc = _text(spark, source).select(
-        F.from_json("value", "default string, mappings map<string,string>").alias("d"))
+        _read(F.col("value"), "default string, mappings map<string,string>").alias("d"))
     codes = (doc.select(F.explode(F.map_entries("d.mappings")).alias("e"))
              .select(F.col("e.key").alias("article_code"), F.col("e.value").alias("mapped_name")))
     default = doc.select(F.lit(None).cast("string").alias("article_code"),
@@ -68,8 +76,8 @@ def dim_contacts(spark: SparkSession, source) -> DataFrame:
         doc = literal_rows(spark, [(json.dumps(source),)], ["value"])
     else:
         doc = _text(spark, source)
-    d = doc.select(F.from_json("value", f"default struct<{_struct(_CONFIG)}>, "
-                                        f"topics map<string, struct<{_struct(_CONFIG)}>>").alias("d"))
+    d = doc.select(_read(F.col("value"), f"default struct<{_struct(_CONFIG)}>, "
+                                         f"topics map<string, struct<{_struct(_CONFIG)}>>").alias("d"))
     topics = (d.select(F.explode(F.map_entries("d.topics")).alias("e"))
               .select(F.col("e.key").alias("contact_topic"), F.col("e.value").alias("c")))
     default = d.where("d.default is not null").select(F.lit(None).cast("string").alias("contact_topic"),
@@ -99,8 +107,7 @@ def reload(reader, spark: SparkSession, source, last_good: DataFrame | None) ->
     """Read a lookup again; keep the last good copy when the file is missing or unreadable."""
     try:
         fresh = reader(spark, source)
-        if fresh.limit(1).count() == 0 and last_good is not None:
-            return last_good
+        fresh.count()  # a broken file fails here, not in the middle of a run
         return fresh
     except Exception:
         if last_good is None:
@@ -108,5 +115,24 @@ def reload(reader, spark: SparkSession, source, last_good: DataFrame | None) ->
         return last_good
 
 
+def keep_good(spark: SparkSession, reader, source, path: str) -> DataFrame:
+    """The lookup, or its newest copy under ``path`` when it cannot be read; a changed lookup is stored there.
+
+    Copies are appended with a number, so a reader of an older copy is never disturbed and a restart finds the newest.
+    """
+    try:
+        stored = spark.read.parquet(path)
+        newest = stored.agg(F.max("copy")).first()[0]
+        last = stored.where(F.col("copy") == newest).drop("copy")
+    except AnalysisException:
+        newest, last = -1, None
+    fresh = reload(reader, spark, source, last)
+    if fresh is last:
+        return last
+    if last is None or fresh.exceptAll(last).limit(1).count() or last.exceptAll(fresh).limit(1).count():
+        fresh.withColumn("copy", F.lit(newest + 1)).coalesce(1).write.mode("append").parquet(path)
+    return fresh
+
+
 def default_workers(spark: SparkSession) -> DataFrame:
     return dim_workers(spark, S.DEFAULT_WORKERS)

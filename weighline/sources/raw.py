@@ -67,18 +67,33 @@ def _objects() -> Column:
     return F.from_json(F.coalesce(plain, text), _RECORDS)
 
 
-def parse(raw: DataFrame) -> DataFrame:
-    """One row per record in canonical text columns.  Unusable payloads go to :func:`dead_letters`.
+def rejection(records: Column) -> Column:
+    """Why a payload is unusable; null for one whose ``records`` were read."""
+    body = _body()
+    bad_text = body.isNull() | ~F.is_valid_utf8(body)
+    usable = records.isNotNull() & ~(body.contains("null") & F.exists(records, lambda r: r.isNull()))
+    bad_json = F.try_parse_json(body).isNull() | F.try_parse_json(_wrapped()).isNull()
+    return (F.when(bad_text, "encoding_error").when(F.coalesce(usable, F.lit(False)), F.lit(None).cast("string"))
+            .when(bad_json, "json_decode_error").otherwise("not_an_object"))
 
-    Names are chosen row by row: the canonical name first, then its aliases in order, then the same inside a nested
-    ``values`` object.  Columns are addressed by position because devices use names that differ only in case.
+
+def parse_all(raw: DataFrame) -> DataFrame:
+    """One row per record in canonical text columns, and one row with ``dead_reason`` per unusable payload.
+
+    The payload is read once; ``data`` is its text.  Names are chosen row by row: the canonical name first, then its
+    aliases in order, then the same inside a nested ``values`` object.  Columns are addressed by position because devices
+    use names that differ only in case.
     """
     records = _objects()
-    has_null = _body().contains("null") & F.exists(records, lambda r: r.isNull())
-    flat = raw.select("topic", "received_at", "attempts", F.inline(F.when(has_null, None).otherwise(records)))
+    ahead = ["topic", "received_at", "attempts", "data", "dead_reason"]
+    read = raw.select("topic", "received_at", "attempts", _body().alias("data"), rejection(records).alias("dead_reason"),
+                      records.alias("_records"))
+    # an empty list is a usable payload without records
+    read = read.where(F.col("dead_reason").isNotNull() | (F.size("_records") > 0))
+    flat = read.select(*ahead, F.inline_outer(F.when(F.col("dead_reason").isNull(), F.col("_records"))))
     top = [f"f{i}" for i in range(len(NAMES))]
     inner = [f"v{i}" for i in range(len(NAMES))]
-    flat = flat.toDF("topic", "received_at", "attempts", *top, "nested")
+    flat = flat.toDF(*ahead, *top, "nested")
     both = flat.select("*", F.inline_outer(F.array("nested"))).toDF(*flat.columns, *inner)
 
     def pick(names: list[str]) -> Column:
@@ -92,22 +107,27 @@ def parse(raw: DataFrame) -> DataFrame:
             names = list(dict.fromkeys(["DeviceName", "linea", "device_name", *names, "device_id"]))
         out.append(pick(names).alias("server_time_text" if name == "serverTime" else name))
     return both.select(
-        F.coalesce(pick(["mqtt_topic"]), F.col("topic")).alias("mqtt_topic"), "received_at", "attempts", *out,
-        pick(["quality_status"]).alias("quality_status"), pick(["tare_g"]).alias("tare_g"),
+        "topic", F.coalesce(pick(["mqtt_topic"]), F.col("topic")).alias("mqtt_topic"), "received_at", "attempts", "data",
+        "dead_reason", *out, pick(["quality_status"]).alias("quality_status"), pick(["tare_g"]).alias("tare_g"),
         pick(["CreationDateUtc"]).alias("creation_utc_text"))
 
 
+def parse(raw: DataFrame) -> DataFrame:
+    """The records of :func:`parse_all`.  Unusable payloads go to :func:`dead_letters`."""
+    return parse_all(raw).where("dead_reason IS NULL").drop("topic", "data", "dead_reason")
+
+
+def letters_of(parsed: DataFrame) -> DataFrame:
+    """The dead letters among rows of :func:`parse_all`: ``timestamp, topic, reason, data``."""
+    return (parsed.where("dead_reason IS NOT NULL")
+            .select(F.col("received_at").alias("timestamp"), "topic", F.col("dead_reason").alias("reason"), "data"))
+
+
 def dead_letters(raw: DataFrame) -> DataFrame:
-    """Rejected payloads: ``timestamp, topic, reason, data``."""
-    body = _body()
-    # Only the shape matters here, so one field is enough to read.
+    """Rejected payloads: ``timestamp, topic, reason, data``.  Only the shape matters here, so one field is enough to read."""
     shape = F.from_json(_wrapped(), "array<struct<identity: string>>")
-    usable = F.coalesce(F.forall(shape, lambda r: r.isNotNull()), F.lit(False))
-    bad_text = body.isNull() | ~F.is_valid_utf8(body)
-    bad_json = F.try_parse_json(body).isNull() | F.try_parse_json(_wrapped()).isNull()
-    reason = (F.when(bad_text, "encoding_error").when(bad_json, "json_decode_error").otherwise("not_an_object"))
-    return (raw.where(bad_text | ~usable)
-            .select(F.col("received_at").alias("timestamp"), "topic", reason.alias("reason"), body.alias("data")))
+    return (raw.select(F.col("received_at").alias("timestamp"), "topic", rejection(shape).alias("reason"), _body().alias("data"))
+            .where("reason IS NOT NULL"))
 
 
 def retry_split(failed: DataFrame, max_retries: int = S.MAX_RETRIES) -> DataFrame:

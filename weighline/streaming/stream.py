@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from weighline import settings as S
 from weighline.functions import text as tx, times
 from weighline.operators import batches as ba, stops as st
-from weighline.plans.pipeline import Lookups, State, process, together, write_result
+from weighline.plans.pipeline import Lookups, State, process, together, write_reports, write_result
 from weighline.sinks import tables as tb
 
 STATE_TABLES = ("open_batches", "counters", "history", "closed", "watermark")
@@ -57,10 +57,7 @@ def handler(root: str, lookups: Callable[[SparkSession], Lookups], archive_forma
         state = read_state(spark, root, epoch - 1)
         result = process(raw, lookups(spark), state, more_follows=True, **options)
         write_result(result, root, epoch=epoch, archive_format=archive_format)
-        audit = (result.weighings.groupBy(F.col("mqtt_topic").alias("topic"))
-                 .agg(F.count(F.lit(1)).alias("messages"))
-                 .withColumn("status", F.lit("ok")).withColumn("seconds", F.lit(time.monotonic() - started)))
-        tb.write_table(audit, f"{root}/audit", epoch)
+        write_reports(result, root, epoch, time.monotonic() - started)
         write_state(result.state, root, epoch)
 
     return run
