@@ -142,15 +142,13 @@ ORACLE["retry_split"] = f"""WITH {RAW} SELECT event_id, topic, CAST(i % 4 + 1 AS
  CASE WHEN i % 4 + 1 >= 3 THEN 'max_retries_exceeded' END AS reason FROM raw"""
 ORACLE["throughput_topic"] = f"""WITH {RAW} SELECT topic, date_trunc('minute', received_at) AS minute, count(*) AS messages
  FROM raw GROUP BY 1, 2"""
-ORACLE["alias_coalesce"] = f"""WITH {REC} SELECT mqtt_topic, linea, article_number, count(*) AS records,
- count(net_weight) AS weights, count(time_text) AS times, count(record_uuid) AS uuids, count(reject_flag) AS rejects
- FROM can GROUP BY 1, 2, 3"""
+ORACLE["alias_coalesce"] = f"""WITH {REC} SELECT mqtt_topic, linea, article_number, identity, net_weight, record_uuid, reject_flag,
+ time_text FROM can"""
 ORACLE["clean_weighings"] = f"""WITH {REC} SELECT mqtt_topic, linea, i AS identity, base + to_microseconds(i % 10000000) AS timestamp,
  number AS net_weight, article_name, article_number, record_uuid, CAST(reject_flag AS DOUBLE) AS reject_flag
  FROM can WHERE net_weight <> 'sensor_error'"""
-ORACLE["clean_strict"] = f"""WITH {REC} SELECT linea, count(*) AS records,
- count(CASE WHEN net_weight = 'sensor_error' OR net_weight LIKE '%,%' THEN NULL ELSE 1 END) AS valid_weights
- FROM can GROUP BY 1"""
+ORACLE["clean_strict"] = f"""WITH {REC} SELECT mqtt_topic, linea, i AS identity,
+ CASE WHEN net_weight = 'sensor_error' OR net_weight LIKE '%,%' THEN NULL ELSE number END AS net_weight FROM can"""
 ORACLE["parse_hhmm"] = f"""WITH t AS (SELECT event_id, ts, (event_id * 7) % 26 AS h, (event_id * 13) % 62 AS mi FROM events),
  u AS (SELECT *, CASE WHEN h <= 23 AND mi <= 59 THEN
   {_utc("(CAST(CAST(" + _zone('ts') + " AS DATE) AS TIMESTAMP) + to_hours(CAST(h AS INTEGER)) + to_minutes(CAST(mi AS INTEGER)))")} END AS parsed FROM t)
@@ -161,7 +159,7 @@ ORACLE["jitter_quality"] = f"""WITH {W}, j AS (SELECT mqtt_topic, CASE WHEN iden
   date_trunc('hour', timestamp) + to_microseconds(identity % 40) END AS t FROM w)
  SELECT mqtt_topic, count(*) AS total_rows, count(DISTINCT t) AS unique_times, count(t) - count(DISTINCT t) AS equal_times,
   count(*) - count(t) AS missing_times, min(t) AS first_time, max(t) AS last_time FROM j GROUP BY 1"""
-ORACLE["shift_label"] = f"""WITH {W} SELECT linea, {SHIFT} AS shift, count(*) AS records FROM w GROUP BY 1, 2"""
+ORACLE["shift_label"] = f"""WITH {W} SELECT identity, linea, {SHIFT} AS shift FROM w"""
 ORACLE["display_time"] = f"""WITH t AS (SELECT event_id, ts + to_microseconds(event_id * 5000000000) AS u FROM events)
  SELECT event_id, {_zone('u')} AS local_time FROM t"""
 ORACLE["ts_fill"] = """SELECT event_id, TIMESTAMP '2024-02-01 00:00:00' - to_microseconds(10000 *
@@ -201,10 +199,19 @@ ORACLE["ingest_watermark"] = f"""WITH {W}, {_MARK.format(src='w')} SELECT * FROM
 ORACLE["dedup_identity"] = f"""WITH {W}, past AS (SELECT * FROM w WHERE timestamp < TIMESTAMP '2024-01-15' AND mqtt_topic = 'factory/zone_0'),
  {_MARK.format(src='past')} SELECT w.mqtt_topic, linea, identity, timestamp FROM w LEFT JOIN mark USING (mqtt_topic)
  WHERE last_identity IS NULL OR identity > last_identity OR last_identity - identity > 1000"""
-ORACLE["rollover"] = f"""WITH {W} SELECT mqtt_topic, (identity % 4000 > 3500 OR 3500 - identity % 4000 > 1000) AS is_new,
- count(*) AS records, min(identity % 4000) AS low, max(identity % 4000) AS high FROM w GROUP BY 1, 2"""
-ORACLE["dedup_within"] = f"""WITH {W} SELECT mqtt_topic, count(*) AS records, CAST(sum(identity) AS BIGINT) AS identity_sum
- FROM w GROUP BY 1"""
+ORACLE["rollover"] = f"""WITH {W} SELECT mqtt_topic, linea, timestamp, identity % 4000 AS identity,
+ (identity % 4000 > 3500 OR 3500 - identity % 4000 > 1000) AS is_new FROM w"""
+ORACLE["watermark_merge"] = f"""WITH {W}, e AS (SELECT *, 0 AS part FROM w WHERE timestamp < TIMESTAMP '2024-01-15'
+  UNION ALL SELECT *, 1 FROM w WHERE timestamp < TIMESTAMP '2024-01-10'
+   OR (mqtt_topic = 'factory/zone_1' AND timestamp >= TIMESTAMP '2024-01-20')),
+ l AS (SELECT *, row_number() OVER (PARTITION BY mqtt_topic, part ORDER BY identity > 0 DESC, timestamp DESC, identity DESC) AS rn,
+   count(*) OVER (PARTITION BY mqtt_topic, part) AS record_count FROM e),
+ m AS (SELECT *, row_number() OVER (PARTITION BY mqtt_topic ORDER BY timestamp DESC, identity DESC, record_uuid DESC, record_count DESC) AS r2
+   FROM l WHERE rn = 1)
+ SELECT mqtt_topic, identity AS last_identity, record_uuid AS last_uuid, timestamp AS last_timestamp, record_count FROM m WHERE r2 = 1"""
+ORACLE["requeue"] = f"""WITH {RAW} SELECT event_id, topic, CAST(CASE WHEN i % 3 = 0 THEN i % 4 + 1 ELSE i % 4 END AS INTEGER) AS attempts,
+ i % 3 = 0 AS retried FROM raw WHERE i % 3 <> 0 OR i % 4 + 1 < 3"""
+ORACLE["dedup_within"] = f"""WITH {W} SELECT mqtt_topic, linea, identity, timestamp FROM w"""
 _B = """mqtt_topic, linea, article, batch_instance_id, seq AS batch_sequence, reason, start_time, end_time, closed_at, recorded,
  CAST(utc_date AS VARCHAR) AS utc_date"""
 ORACLE["batches"] = f"""WITH {SEG} SELECT {_B}, packages, round(net_g / 1000, 4) AS kg, units_rejected FROM b"""
@@ -254,9 +261,8 @@ ORACLE["connection_lag"] = f"""WITH {W} SELECT mqtt_topic, linea,
  max(greatest((epoch_us(server_time) - epoch_us(timestamp)) / 1000000.0, 0)) AS max_lag_seconds FROM w GROUP BY 1, 2"""
 ORACLE["connection_lag_local_clock"] = f"""WITH {W} SELECT mqtt_topic, linea,
  max(greatest((epoch_us(server_time) - epoch_us({_utc('timestamp')})) / 1000000.0, 0)) AS max_lag_seconds FROM w GROUP BY 1, 2"""
-ORACLE["all_alerts"] = f"""WITH {STOPS}{_CLOSED.format(cap=50)}{_RET}, u AS (SELECT topic, alert_type, curr_start FROM ret
-  UNION ALL SELECT topic, alert_type, curr_start FROM stop)
- SELECT topic, alert_type, count(*) AS alerts, min(curr_start) AS first_alert, max(curr_start) AS last_alert FROM u GROUP BY 1, 2"""
+ORACLE["all_alerts"] = f"""WITH {STOPS}{_CLOSED.format(cap=50)}{_RET}, u AS (SELECT topic, alert_type, curr_start, product, origin_line, prev_end, batch_instance_id FROM ret
+  UNION ALL SELECT topic, alert_type, curr_start, product, origin_line, prev_end, batch_instance_id FROM stop) SELECT * FROM u"""
 ORACLE["alert_text"] = f"""WITH {STOPS} SELECT topic, batch_instance_id, prev_end, 'ALERT: ' || alert_type || ' — ' || topic AS subject,
  replace(upper(origin_line), '_', ' ') AS origin_text, 'UNEXPECTED STOP' AS current_text,
  strftime({_zone('prev_start')}, '%H:%M:%S') AS prev_start_text, strftime({_zone('prev_end')}, '%H:%M:%S') AS prev_end_text,
@@ -286,7 +292,8 @@ ORACLE["hot_upsert"] = f"""WITH {M}, h AS (SELECT *, date_trunc('hour', timestam
 ORACLE["hot_merge"] = f"""WITH {M}, h AS (SELECT *, date_trunc('hour', timestamp) AS t FROM m),
  q AS (SELECT *, row_number() OVER (PARTITION BY mqtt_topic, linea, article_number, article_name, batch_code, quality_status, article, t
    ORDER BY identity % 2 DESC, identity DESC) AS rn FROM h)
- SELECT mqtt_topic, linea, count(*) AS keys, CAST(sum(identity) AS BIGINT) AS identity_sum FROM q WHERE rn = 1 GROUP BY 1, 2"""
+ SELECT mqtt_topic, linea, t AS timestamp, article_number, article_name, batch_code, quality_status, identity, net_weight
+ FROM q WHERE rn = 1"""
 ORACLE["cold_rows"] = f"""WITH {_WB} SELECT identity, timestamp, CASE WHEN hit THEN quality_status END AS processed_status,
  CASE WHEN hit THEN round(clean_net_weight_g, 4) END AS calculated_net_weight, CASE WHEN hit THEN CAST(0 AS DOUBLE) END AS tare_g,
  CASE WHEN hit THEN batch_instance_id END AS batch_instance_id, CASE WHEN hit THEN seq END AS batch_sequence,

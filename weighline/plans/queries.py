@@ -96,11 +96,9 @@ def throughput_topic(spark, sf_dir):
 
 @query
 def alias_coalesce(spark, sf_dir):
-    """Which source name each record used, after row-wise alias resolution."""
-    c = parsed(spark, sf_dir)
-    return c.groupBy("mqtt_topic", "linea", "article_number").agg(
-        F.count(F.lit(1)).alias("records"), F.count("net_weight").alias("weights"), F.count("timestamp").alias("times"),
-        F.count("record_uuid").alias("uuids"), F.count("reject_flag").alias("rejects"))
+    """The value every record got for its aliased columns, chosen row by row."""
+    return parsed(spark, sf_dir).select("mqtt_topic", "linea", "article_number", "identity", "net_weight", "record_uuid", "reject_flag",
+                                        F.col("timestamp").alias("time_text"))
 
 
 @query
@@ -114,7 +112,7 @@ def clean_weighings(spark, sf_dir):
 def clean_strict(spark, sf_dir):
     """The same without decimal commas: such weights are not numbers."""
     c = cl.typed(parsed(spark, sf_dir), decimal_comma=False)
-    return c.groupBy("linea").agg(F.count(F.lit(1)).alias("records"), F.count("net_weight").alias("valid_weights"))
+    return c.select("mqtt_topic", "linea", "identity", "net_weight")
 
 
 @query
@@ -147,8 +145,7 @@ def jitter_quality(spark, sf_dir):
 @query
 def shift_label(spark, sf_dir):
     w = tm.weighings(spark, sf_dir)
-    return (w.withColumn("shift", times.shift_label(F.col("timestamp")))
-            .groupBy("linea", "shift").agg(F.count(F.lit(1)).alias("records")))
+    return w.select("identity", "linea", times.shift_label(F.col("timestamp")).alias("shift"))
 
 
 @query
@@ -272,8 +269,25 @@ def rollover(spark, sf_dir):
     """Counters that restart every 4000 records, against a watermark of 3500 per topic."""
     w = tm.weighings(spark, sf_dir).withColumn("identity", F.col("identity") % 4000)
     mark = w.groupBy("mqtt_topic").agg(F.lit(3500).cast("bigint").alias("last_identity"))
-    return (dd.mark_new(w, mark).groupBy("mqtt_topic", "is_new")
-            .agg(F.count(F.lit(1)).alias("records"), F.min("identity").alias("low"), F.max("identity").alias("high")))
+    return dd.mark_new(w, mark).select("mqtt_topic", "linea", "timestamp", "identity", "is_new")
+
+
+@query
+def watermark_merge(spark, sf_dir):
+    """A watermark of the first half, merged with one of late records (and, for one topic, of newer ones)."""
+    w = tm.weighings(spark, sf_dir)
+    at = lambda day: F.lit(day).cast("timestamp")
+    later = (F.col("mqtt_topic") == "factory/zone_1") & (F.col("timestamp") >= at("2024-01-20"))
+    return dd.merge_watermark(dd.ingest_watermark(w.where(F.col("timestamp") < at("2024-01-15"))),
+                              dd.ingest_watermark(w.where((F.col("timestamp") < at("2024-01-10")) | later)))
+
+
+@query
+def requeue(spark, sf_dir):
+    """The next input: every third message failed, the others wait."""
+    r = tm.raw_messages(spark, sf_dir)
+    failed = F.col("event_id") % 3 == 0
+    return raw.requeue(r.where(failed), r.where(~failed)).select("event_id", "topic", "attempts", "retried")
 
 
 @query
@@ -282,8 +296,7 @@ def dedup_within(spark, sf_dir):
     w = tm.weighings(spark, sf_dir)
     again = w.unionByName(w.where("identity % 3 = 0"))
     none = dd.ingest_watermark(w.where("false"))
-    return (dd.dedup(again, none, within_batch=True).groupBy("mqtt_topic")
-            .agg(F.count(F.lit(1)).alias("records"), F.sum("identity").alias("identity_sum")))
+    return dd.dedup(again, none, within_batch=True).select("mqtt_topic", "linea", "identity", "timestamp")
 
 
 # --- batches ----------------------------------------------------------------------------------------------------
@@ -395,10 +408,8 @@ def connection_lag_local_clock(spark, sf_dir):
 @query
 def all_alerts(spark, sf_dir):
     seg = segments(spark, sf_dir)
-    return (al.all_alerts(rt.detect_returns(seg.batches), st.detect_stops(seg))
-            .groupBy("topic", "alert_type").agg(F.count(F.lit(1)).alias("alerts"),
-                                                F.min("curr_start").alias("first_alert"),
-                                                F.max("curr_start").alias("last_alert")))
+    return al.all_alerts(rt.detect_returns(seg.batches), st.detect_stops(seg)).select(
+        "topic", "alert_type", "curr_start", "product", "origin_line", "prev_end", "batch_instance_id")
 
 
 @query
@@ -442,20 +453,23 @@ def hot_upsert(spark, sf_dir):
 
 @query
 def hot_merge(spark, sf_dir):
-    """Writing January's second half over a hot table that holds the first half and some of the same keys."""
+    """Writing records with odd counters over a hot table that holds those with even ones, some under the same keys."""
     w = cl.business_fields(en.map_articles(tm.weighings(spark, sf_dir), articles(spark)))
     h = ou.hot_rows(w.withColumn("timestamp", F.date_trunc("hour", "timestamp")))
     cut = F.col("identity") % 2 == 0
     merged = ou.upsert(ou.last_write_wins(h.where(cut)), h.where(~cut))
-    return merged.groupBy("mqtt_topic", "linea").agg(F.count(F.lit(1)).alias("keys"),
-                                                     F.sum("identity").alias("identity_sum"))
+    return merged.select("mqtt_topic", "linea", "timestamp", "article_number", "article_name", "batch_code", "quality_status",
+                         "identity", "net_weight")
+
+
+def cold_raw(spark, sf_dir):
+    return tm.weighings(spark, sf_dir).select(
+        "mqtt_topic", "linea", "identity", "timestamp", "article_number", "article_name", "net_weight", "batch_code",
+        F.when(F.col("identity") % 10 != 0, F.col("record_uuid")).alias("record_uuid"))
 
 
 def cold_inputs(spark, sf_dir):
-    w = tm.weighings(spark, sf_dir)
-    raw_rows = w.select("mqtt_topic", "linea", "identity", "timestamp", "article_number", "article_name",
-                        "net_weight", "batch_code",
-                        F.when(F.col("identity") % 10 != 0, F.col("record_uuid")).alias("record_uuid"))
+    raw_rows = cold_raw(spark, sf_dir)
     done = with_everything(spark, sf_dir).where("identity % 4 <> 0").withColumn(
         "record_uuid", F.when(F.col("identity") % 10 != 0, F.col("record_uuid")))
     return raw_rows, done
@@ -471,7 +485,7 @@ def cold_rows(spark, sf_dir):
 
 @query
 def cold_semi(spark, sf_dir):
-    raw_rows, _ = cold_inputs(spark, sf_dir)
+    raw_rows = cold_raw(spark, sf_dir)
     kept = raw_rows.where("identity % 4 <> 0")
     return ou.cold_semi(raw_rows, kept).select("mqtt_topic", "identity", "record_uuid")
 
