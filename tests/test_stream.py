@@ -126,3 +126,47 @@ def test_watchdog_reports_each_silence_once(spark, streamed):
     assert sm.watchdog_tick(spark, streamed, F.lit(day + " 17:55:00").cast("timestamp"), 1) + first >= want
     assert spark.read.parquet(streamed + "/live_stops").groupBy("topic", "prev_end").count().where("count > 1").count() == 0
     assert sm.watchdog_tick(spark, streamed, F.lit(day + " 21:00:00").cast("timestamp"), 2) == 0
+
+
+def test_batch_run_twice_changes_nothing(spark, feed, at_once, tmp_path):
+    root = str(tmp_path / "batch")
+    tables = ["batches", "kpi_minute", "kpi_batch", "archive_manifest", "rejected"]
+    seen = []
+    for _ in range(2):
+        pl.run_batch(rw.load_raw(spark, feed), lookups(spark), root)
+        seen.append({t: sorted(map(str, spark.read.parquet(f"{root}/{t}").collect())) for t in tables})
+    assert seen[0] == seen[1] and len(seen[0]["batches"]) == at_once.batches.count()
+    report = spark.read.json(f"{root}/daily_production/epoch=0/productions")
+    assert report.count() == at_once.batches.where("recorded").count()
+
+
+def test_stream_reports(spark, streamed, at_once):
+    report = spark.read.json([f"{streamed}/daily_production/epoch={n}/productions" for n in range(4)])
+    assert report.count() == at_once.batches.where("recorded").count()
+    done = spark.read.parquet(streamed + "/audit").where("status = 'ok'").agg(F.sum("messages")).first()[0]
+    assert done == 1000
+
+
+def test_rejected_keep_their_text(spark):
+    payload = '{"identity": 1, "net_weight": "sensor_error", "timestamp": "2024-01-02T00:00:00Z", "linea": "L"}'
+    raw = spark.createDataFrame([("factory/a", payload, None, 0), ("factory/a", "{bad", None, 0), ("factory/a", "[]", None, 0)], rw.RAW_SCHEMA)
+    r = pl.process(raw, lookups(spark))
+    row, = r.rejected.collect()
+    assert (row.reason, row.net_weight_text, row.data) == ("bad_weight", "sensor_error", payload)
+    assert [(d.reason, d.data) for d in r.dead_letters.collect()] == [("json_decode_error", "{bad")]
+    assert r.weighings.count() == 0
+
+
+def test_lookups_survive_bad_files(spark, tmp_path):
+    import json
+    paths = {n: tmp_path / f"{n}.json" for n in ("workers", "targets", "articles", "contacts")}
+    for (n, path), content in zip(paths.items(), (tm.WORKERS, tm.TARGETS, tm.ARTICLES, tm.CONTACTS)):
+        path.write_text(json.dumps(content))
+    read = lambda: pl.Lookups.kept(spark, str(tmp_path / "good"), *map(str, paths.values()))
+    rows = lambda x: [sorted(map(str, getattr(x, n).collect())) for n in paths]
+    good = rows(read())
+    for n, path in paths.items():
+        path.write_text("{broken") if n != "targets" else path.unlink()
+    assert rows(read()) == good
+    paths["workers"].write_text('{"Line_09": 2}')
+    assert rows(read())[0] != good[0] and rows(read())[1:] == good[1:]

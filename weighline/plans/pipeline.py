@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from weighline import settings as S
 from weighline.operators import (alerts as al, batches as ba, clean as cl, dedup as dd, enrich as en, kpis as kp,
                                  outputs as ou, reports as rp, returns as rt, stops as st)
-from weighline.session import materialize
+from weighline.session import intermediates, materialize
 from weighline.sinks import tables as tb
 from weighline.sources import lookups as lk, raw as rw
 
@@ -196,18 +196,18 @@ def write_reports(result: Result, root: str, epoch: int, seconds: float, zone: s
              lambda: tb.write_table(audit(result, seconds), f"{root}/audit", epoch))
 
 
-def run_batch(raw: DataFrame, lookups: Lookups, root: str, run: int = 0, **options) -> Result:
+def run_batch(raw: DataFrame, lookups: Lookups, root: str, run: int = 0, **options) -> None:
     """Process everything at once and write all tables under ``root``.
 
     Every table goes to the folder of ``run`` and replaces what an earlier attempt of that run left, so a repeated job
-    changes nothing; different inputs under one root need different runs.
+    changes nothing; different inputs under one root need different runs.  Intermediate tables are deleted at the end.
     """
     started = time.monotonic()
-    result = process(raw, lookups, **options)
-    write_result(result, root, epoch=run)
-    write_reports(result, root, run, time.monotonic() - started)
-    done = result.weighings
-    together(lambda: tb.write_table(kp.kpi_window(done, "1 minute"), f"{root}/kpi_minute", run),
-             lambda: tb.write_table(kp.kpi_shift(done), f"{root}/kpi_shift", run),
-             lambda: tb.write_table(kp.kpi_batch(result.batches), f"{root}/kpi_batch", run))
-    return result
+    with intermediates(raw.sparkSession):
+        result = process(raw, lookups, **options)
+        write_result(result, root, epoch=run)
+        write_reports(result, root, run, time.monotonic() - started)
+        done = result.weighings
+        together(lambda: tb.write_table(kp.kpi_window(done, "1 minute"), f"{root}/kpi_minute", run),
+                 lambda: tb.write_table(kp.kpi_shift(done), f"{root}/kpi_shift", run),
+                 lambda: tb.write_table(kp.kpi_batch(result.batches), f"{root}/kpi_batch", run))

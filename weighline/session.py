@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_default: str | None = None
+_run: ContextVar[str] = ContextVar("run", default="kept")
 
 
 def build_session(app_name: str = "weighline", master: str | None = None, **conf) -> SparkSession:
@@ -55,6 +60,30 @@ def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     is cut, and lost executors re-read files instead of recomputing the scan.
     """
     spark = df.sparkSession
-    path = f"{folder or shared_dir(spark)}/weighline/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or shared_dir(spark)}/weighline/{_run.get()}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """What :func:`materialize` writes inside goes to a folder of its own, which is deleted at the end."""
+    run = f"run-{uuid.uuid4().hex}"
+    token = _run.set(run)
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        remove(f"{shared_dir(spark)}/weighline/{run}")
+
+
+def remove(path: str) -> bool:
+    """Delete a folder of a store that pyarrow reaches; elsewhere the store's own retention rule has to."""
+    from pyarrow import ArrowInvalid, ArrowNotImplementedError, fs
+    local = path.removeprefix("file:") if path.startswith("file:") else path
+    try:
+        store, place = ((fs.LocalFileSystem(), os.path.normpath(local)) if "://" not in local else fs.FileSystem.from_uri(path))
+        store.delete_dir(place)
+    except (OSError, ArrowInvalid, ArrowNotImplementedError):
+        return False
+    return True

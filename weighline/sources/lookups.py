@@ -115,6 +115,11 @@ def reload(reader, spark: SparkSession, source, last_good: DataFrame | None) ->
         return last_good
 
 
+def _content(df: DataFrame) -> tuple:
+    """Number of rows and an order-free digest of them."""
+    return tuple(df.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)"))).first())
+
+
 def keep_good(spark: SparkSession, reader, source, path: str) -> DataFrame:
     """The lookup, or its newest copy under ``path`` when it cannot be read; a changed lookup is stored there.
 
@@ -129,7 +134,7 @@ def keep_good(spark: SparkSession, reader, source, path: str) -> DataFrame:
     fresh = reload(reader, spark, source, last)
     if fresh is last:
         return last
-    if last is None or fresh.exceptAll(last).limit(1).count() or last.exceptAll(fresh).limit(1).count():
+    if last is None or _content(fresh) != _content(last):
         fresh.withColumn("copy", F.lit(newest + 1)).coalesce(1).write.mode("append").parquet(path)
     return fresh
 

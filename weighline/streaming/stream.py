@@ -1,8 +1,8 @@
 """The stream: micro-batches with carried state, and the live stop check.
 
 State is a handful of small tables per epoch under ``root/state/epoch=N``.  Epoch N reads the tables of N-1, so a
-replay after a lost executor or a restart computes and overwrites the same result.  The state is written last: it is
-the commit of the epoch.  The work on a micro-batch is the same distributed plan as in batch mode, so a busy topic is
+replay after a lost executor or a restart computes and overwrites the same result.  The state is written last,
+then the commit row of the epoch.  The work on a micro-batch is the same distributed plan as in batch mode, so a busy topic is
 spread over tasks instead of being held by one stateful task.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,8 +19,11 @@ from weighline import settings as S
 from weighline.functions import text as tx, times
 from weighline.operators import batches as ba, stops as st
 from weighline.plans.pipeline import Lookups, State, process, together, write_reports, write_result
+from weighline.session import intermediates, remove
 from weighline.sinks import tables as tb
 
+#: Epochs whose state is kept, for replays and restarts.
+KEPT_EPOCHS = 10
 STATE_TABLES = ("open_batches", "counters", "history", "closed", "watermark")
 
 
@@ -27,8 +31,10 @@ def write_state(state: State, root: str, epoch: int) -> None:
     def save(name: str) -> None:
         getattr(state, name).write.mode("overwrite").parquet(f"{root}/state/epoch={epoch}/{name}")
 
-    together(*[lambda n=n: save(n) for n in STATE_TABLES[:-1]])
-    save(STATE_TABLES[-1])
+    together(*[lambda n=n: save(n) for n in STATE_TABLES])
+    spark = state.watermark.sparkSession
+    spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{root}/commits/epoch={epoch}")
+    remove(f"{root}/state/epoch={epoch - KEPT_EPOCHS}")
 
 
 def read_state(spark: SparkSession, root: str, epoch: int) -> State | None:
@@ -38,13 +44,11 @@ def read_state(spark: SparkSession, root: str, epoch: int) -> State | None:
 
 
 def last_epoch(spark: SparkSession, root: str) -> int | None:
-    """Newest committed epoch: the watermark table is written last."""
-    jvm = spark.sparkContext._jvm
-    base = jvm.org.apache.hadoop.fs.Path(f"{root}/state/epoch=*/{STATE_TABLES[-1]}/_SUCCESS")
-    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(base)
-    epochs = [int(str(f.getPath()).split("/epoch=")[1].split("/")[0]) for f in (found or [])]
-    return max(epochs) if epochs else None
+    """Newest committed epoch: its commit row is written after its state."""
+    try:
+        return spark.read.parquet(f"{root}/commits").agg(F.max("epoch")).first()[0]
+    except AnalysisException:
+        return None
 
 
 def handler(root: str, lookups: Callable[[SparkSession], Lookups], archive_format: str = "csv",
@@ -54,11 +58,12 @@ def handler(root: str, lookups: Callable[[SparkSession], Lookups], archive_forma
     def run(raw: DataFrame, epoch: int) -> None:
         spark = raw.sparkSession
         started = time.monotonic()
-        state = read_state(spark, root, epoch - 1)
-        result = process(raw, lookups(spark), state, more_follows=True, **options)
-        write_result(result, root, epoch=epoch, archive_format=archive_format)
-        write_reports(result, root, epoch, time.monotonic() - started)
-        write_state(result.state, root, epoch)
+        with intermediates(spark):
+            state = read_state(spark, root, epoch - 1)
+            result = process(raw, lookups(spark), state, more_follows=True, **options)
+            write_result(result, root, epoch=epoch, archive_format=archive_format)
+            write_reports(result, root, epoch, time.monotonic() - started)
+            write_state(result.state, root, epoch)
 
     return run
 
@@ -113,13 +118,11 @@ def watchdog_tick(spark: SparkSession, root: str, now, tick: int, zone: str = S.
 
 
 def _read_earlier(spark: SparkSession, path: str, tick: int) -> DataFrame | None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
+    try:
+        # A replayed tick must not see its own earlier output.
+        return spark.read.parquet(path).where(F.col("epoch") < tick)
+    except AnalysisException:
         return None
-    # A replayed tick must not see its own earlier output.
-    return spark.read.parquet(path).where(F.col("epoch") < tick)
 
 
 def run_watchdog(spark: SparkSession, root: str, checkpoint: str, seconds: int = S.WATCHDOG_SECONDS) -> StreamingQuery:
