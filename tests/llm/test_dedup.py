@@ -104,7 +104,7 @@ def test_near(spark, size):
 
 
 def test_near_mixed_buckets_by_blocks(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 0)
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
     data = family(3)
     got = near_dedup.near_dedup(table(spark, data)).collect()
     assert sorted([tuple(r)[:4] for r in got], key=key) == sorted([w[:4] for w in near_brute(data, 2, 80)], key=key)

@@ -6,11 +6,11 @@
 3. Signatures of a pair are compared batch by batch; a pair is dropped as soon as the posterior probability that its
    similarity reaches the threshold falls below ``MISS`` (uniform prior).  Survivors are confirmed on their full sets.
 4. Confirmed links are joined into components.  Buckets whose members are all in one component need nothing more.
-   For others, further rounds take other hubs; what is still mixed is compared member by member, in blocks, leaving
-   out pairs that are already in one component.  So every pair of a bucket is either linked through its component or
-   was itself dropped or compared: no cap on partners.
+   In the others every member meets every other, in blocks, leaving out pairs that are already in one component.  So
+   every pair of a bucket is either linked through its component or was itself dropped or compared: no cap on partners.
 
-How it scales.  Signatures are made where texts are read.  Bucket sizes and hubs come from aggregates; joins on bucket keys can
+How it scales.  Signatures are made where texts are read.  A bucket's hub is the member that meets most others over all
+buckets, as the centre of a group of near copies does.  Sizes and hubs come from aggregates; joins on bucket keys can
 be split when skewed.  Texts of candidates alone are moved, once, and a hub with many partners is copied to several tasks.
 A pair below the threshold cannot be linked; one at 0.8 is missed by all bands with probability 3e-6.
 
@@ -39,10 +39,10 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Hashes compared before the posterior is looked at again; the probability at which a pair is given up.
 BATCH, MISS = 32, 1e-6
-#: Rounds with one hub per bucket before blocks; members of a block; partners of a hub's copy.
-HUB_ROUNDS, BLOCK, PARTNERS = 3, 256, 500
+#: Members of a block; partners of a hub's copy.
+BLOCK, PARTNERS = 256, 500
 #: Bytes of text hashed at a time.
-PART = 1 << 22
+PART = 1 << 20
 _LOW = -(1 << 63)
 _HIGH = (1 << 63) - 1
 _SPACE = np.zeros(256, bool)
@@ -252,33 +252,69 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def blocks(mixed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Surviving pairs of different components within buckets (key, cid, comp), every member with every other.
+def blocks(mixed: DataFrame, firsts: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links (hub, cid) between different components within buckets (key, cid, comp), every member with every other.
 
-    A bucket's members are dealt into blocks of about ``BLOCK``; each pair of blocks is one group of rows."""
-    sizes = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    A bucket's members are dealt into blocks of about ``BLOCK``; each pair of blocks is one group of rows.  A pair is
+    looked at in the first band it shares only.  Survivors of the signatures are confirmed on their full sets at once,
+    so that what leaves the task are links, and of those only such as join components.
+    """
+    sizes = C.table(mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "sizes")
     placed = (mixed.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-              .join(classes.select("cid", "sig"), "cid"))
+              .join(firsts.select("cid", "bands", "sig"), "cid").join(texts, "cid"))
     # a member goes to the pairs (part, j) for j >= part and (i, part) for i < part
     dealt = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid", "comp", "sig"))
+             .select("key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid", "comp", "bands", "sig", "text"))
     schema = pa.schema([("hub", pa.int64()), ("cid", pa.int64())])
+    threshold = percent / 100
 
     def run(batches):
         held, group = [], None
 
         def found():
             cid, comp, part = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("cid", "comp", "part"))
+            bands = np.concatenate([b.column("bands").flatten().to_numpy() for b in held]).reshape(-1, BANDS)
             sig = np.concatenate([_sigs(b.column("sig")) for b in held])
-            _, i, j = group
+            key, i, j = group
             left = np.flatnonzero(part == i)
             right = left if i == j else np.flatnonzero(part == j)
+            sets = flat = None
+            joined: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while c in joined:
+                    c = joined[c]
+                return c
+
+            links = []
             for a in left:
-                other = right[(cid[right] > cid[a]) & (comp[right] != comp[a])] if i == j else right[comp[right] != comp[a]]
-                if len(other):
-                    ok = other[survive(np.broadcast_to(sig[a], (len(other), HASHES)), sig[other], threshold)]
-                    if len(ok):
-                        yield C.batch(schema, hub=np.full(len(ok), cid[a]), cid=cid[ok])
+                own = root(int(comp[a]))
+                other = right[cid[right] > cid[a]] if i == j else right
+                other = other[np.array([root(c) != own for c in comp[other].tolist()], bool)] if joined else other[comp[other] != own]
+                shared = bands[other] == bands[a]
+                other = other[bands[a][shared.argmax(axis=1)] == key]
+                if not len(other):
+                    continue
+                other = other[survive(np.broadcast_to(sig[a], (len(other), HASHES)), sig[other], threshold)]
+                if not len(other):
+                    continue
+                if sets is None:  # numbers in place of hashes, and all members' sets in a row
+                    sets = document_sets([t for b in held for t in b.column("text").to_pylist()], size)
+                    lengths = np.array([len(x) for x in sets])
+                    begins = np.cumsum(lengths) - lengths
+                    universe, flat = np.unique(np.concatenate(sets), return_inverse=True)
+                    mark = np.zeros(len(universe), np.int32)
+                mine = flat[begins[a]:begins[a] + lengths[a]]
+                mark[mine] = 1
+                common = np.add.reduceat(mark[flat], begins)[other]  # no set is empty
+                mark[mine] = 0
+                for o in other[100 * common >= percent * (lengths[a] + lengths[other] - common)].tolist():
+                    x, y = root(int(comp[a])), root(int(comp[o]))
+                    if x != y:
+                        joined[max(x, y)] = min(x, y)
+                        links.append((int(cid[a]), int(cid[o])))
+            if links:
+                yield C.batch(schema, **dict(zip(schema.names, zip(*links))))
 
         for b in batches:
             key, i, j = (b.column(c).to_numpy() for c in ("key", "i", "j"))
@@ -307,30 +343,28 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80, id_col: str =
     firsts = C.table(rows.where("bands IS NOT NULL").join(classes.select(F.col("cid").alias("rid")), "rid")
                      .select(F.col("rid").alias("cid"), "id", "tk", "bands", "sig"), "first-rows")
     members = firsts.select(F.explode("bands").alias("key"), "cid")
-    crowded = members.groupBy("key").agg(F.count("*").alias("n"), F.min("cid").alias("hub")).where("n > 1").select("key", "hub")
+    # tables of their own: a join right above an aggregate could not be split when a key is crowded
+    crowded = C.table(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
     live = C.table(members.join(crowded, "key"), "buckets")
+    # the centre of a group of near copies meets more members, in more buckets, than they meet each other
+    met = C.table(live.groupBy("cid").agg(F.sum("size").alias("met")), "met")
+    live = C.table(live.join(met, "cid").select("key", "cid", F.struct("met", F.xxhash64("cid").alias("tie")).alias("rank")), "buckets")
+    centres = C.table(live.groupBy("key").agg(F.max_by("cid", "rank").alias("hub")), "hubs")
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOW)).alias("id"), F.xxhash64(C.text_of(text_col)).alias("tk"),
                         C.text_of(text_col).alias("text"))
-    pairs = C.table(pruned(live.where("hub <> cid").select("hub", "cid").distinct(), firsts, threshold), "pairs")
+    first = live.select("key", "cid").join(centres, "key").where("hub <> cid").select("hub", "cid").distinct()
+    pairs = C.table(pruned(first, firsts, threshold), "pairs")
     wanted = live.select("cid").distinct().join(firsts.select("cid", "id", "tk"), "cid")
     # a repeated row (same doc_id, same text) would bring its text twice: one is enough
     texts = C.table(keyed.join(wanted, ["id", "tk"]).select("cid", "text").dropDuplicates(["cid"]), "texts")
     links = C.table(confirmed(pairs, texts, size, percent), "links")
     labels = components(links)
-    for step in range(HUB_ROUNDS + 1):
-        tagged = (live.select("key", "cid").join(labels, "cid", "left").select("key", "cid", F.coalesce("comp", "cid").alias("comp")))
-        # another hub in each round, drawn by hash, from the buckets that are still mixed
-        hub = F.max_by(F.struct("cid", "comp"), F.xxhash64("cid", F.lit(step))).alias("h")
-        open_ = (tagged.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub)
-                 .where("lo < hi").select("key", F.col("h.cid").alias("hub"), F.col("h.comp").alias("hub_comp")))
-        mixed = C.table(tagged.join(open_, "key"), "mixed")
-        if not mixed.limit(1).count():
-            break
-        if step < HUB_ROUNDS:
-            found = pruned(mixed.where("comp <> hub_comp").select("hub", "cid").distinct(), firsts, threshold)
-        else:
-            found = blocks(mixed.select("key", "cid", "comp"), firsts, threshold).distinct()
-        links = C.table(links.union(confirmed(C.table(found, "pairs"), texts, size, percent)), "links")
+    # buckets whose members are not yet in one component
+    tagged = live.join(labels, "cid", "left").select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
+    open_ = C.table(tagged.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "open")
+    mixed = C.table(tagged.join(open_, "key"), "mixed")
+    if mixed.limit(1).count():
+        links = C.table(links.union(blocks(mixed, firsts, texts, size, percent)), "links")
         labels = components(links)
     named = classes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     best = named.groupBy("comp").agg(F.min("best").alias("best"))
