@@ -13,9 +13,9 @@ A byte goes if a string of ``WINDOW`` bytes that covers it starts anywhere else
 4. Every document's repeats are joined and cut out.
 
 How it scales.  Counting is aggregated map-side, joins on anchors can be split when skewed.  A suffix array holds the
-runs of whole anchors up to ``CHUNK_WINDOWS`` windows; an anchor with more than ``ARRAY_RUNS`` different runs (a passage of a
-large share of all documents has such anchors at its edges) has its windows counted by hash in an aggregate instead.
-Both ways are exact up to collisions of 128 hashed bits.
+runs of whole anchors up to ``CHUNK_WINDOWS`` windows.  An anchor with more than ``ARRAY_RUNS`` different runs (a passage of a
+large share of all documents has such anchors at its edges) is split by the anchor's place in the window, which equal
+windows share, and its windows are compared by hash.  Both ways are exact up to collisions of 128 hashed bits.
 
 Defined results.  Null text is empty.  Texts shorter than the window lose nothing.  Two rows with one text repeat each
 other; so do repeated rows, also with one doc_id or none.  An empty table gives no rows.  Only the two named columns are
@@ -37,7 +37,7 @@ from weighline.llm import common as C
 WINDOW, GRAM = 200, 32
 ARRAY_RUNS, CHUNK_WINDOWS = 2_000, 60_000
 #: Window starts worked on at a time; a longer text is cut into overlapping parts.
-PART = 1 << 22
+PART = 1 << 20
 _LOW = -(1 << 63)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -250,7 +250,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         C.text_of(text_col).alias("text"))
     rows = run_rows(keyed, window, gram)
     # anchors seen twice; the runs of others are dropped
-    twice = rows.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1")
+    twice = C.table(rows.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "anchors")
     live = C.table(rows.join(twice, "h1", "left_semi"), "runs")
     kinds = C.table(live.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("rid").alias("rid")), "kinds")
     whole = (live.join(kinds.where("n > 1").select("h1", "h2", "n"), ["h1", "h2"])
@@ -303,21 +303,60 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     arrayed = C.map_arrow(fetched.where(F.col("m") <= array_runs).select("h1", "id", "tk", "s", "run", "left", "bytes")
                           .repartition("h1").sortWithinPartitions("h1"), scan, OCCURRENCE_SCHEMA)
-    counted_schema = pa.schema([("h1", pa.int64()), ("off", pa.int32()), ("w", pa.int64()), ("id", pa.int64()), ("tk", pa.int64()), ("s", pa.int64())])
+    counted_schema = pa.schema([("h1", pa.int64()), ("part", pa.int64()), ("id", pa.int64()), ("tk", pa.int64()), ("s", pa.int64()), ("off", pa.int32()),
+                                ("w", pa.list_(pa.int64()))])
+    offsets = window - gram + 1  # an anchor stands at one of so many places of a window
 
     def windows(batches):
+        """A crowded anchor's runs, cut where the anchor's place in the window passes from one part to the next."""
         for b in batches:
-            for h1, i, tk, s, run, off, raw in zip(*(c.to_pylist() for c in b.columns)):
+            rows = []
+            for h1, m, i, tk, s, run, off, raw in zip(*(c.to_pylist() for c in b.columns)):
                 at = np.arange(run)
-                hashes = RangeHash(BYTES[np.frombuffer(raw, np.uint8)]).of(at, at + window)
-                yield C.batch(counted_schema, h1=np.full(run, h1), off=(off - at).astype(np.int32), w=hashes.view(np.int64),
-                              id=np.full(run, i), tk=np.full(run, tk), s=s + at)
-
-    crowded = C.table(C.map_arrow(fetched.where(F.col("m") > array_runs).select("h1", "id", "tk", "s", "run", "off", "bytes"), windows,
-                                  "h1 long, off int, w long, id long, tk long, s long"), "crowded")
-    same = ["h1", "off", "w"]
-    counted = (crowded.join(crowded.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1"), same)
-               .select("id", "tk", "s", (F.col("s") + window).alias("e"), F.xxhash64(*same).alias("repeat"), F.col("n").alias("occurrences")))
+                hashes = RangeHash(BYTES[np.frombuffer(raw, np.uint8)]).of(at, at + window).view(np.int64)
+                width = max(1, offsets * array_runs // m)
+                split = max(1, m // (offsets * array_runs))  # more runs than places can part: by hash as well
+                part = (off - at) // width * split + hashes % split
+                edges = [0, *(np.flatnonzero(np.diff(part)) + 1), run]
+                rows += [(h1, int(part[x]), i, tk, s + x, off - x, hashes[x:y]) for x, y in zip(edges, edges[1:])]
+            if rows:
+                yield C.batch(counted_schema, **dict(zip(counted_schema.names, zip(*rows))))
+
+    def count(batches):
+        held, group = [], None
+
+        def found():
+            ids, keys, s, off, hashes = zip(*held)
+            lengths = np.array([len(h) for h in hashes])
+            row = np.repeat(np.arange(len(held)), lengths)
+            at = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            w = np.concatenate(hashes).astype(np.uint64) + C.mix64((np.array(off)[row] - at).astype(np.uint64))
+            _, back, times = np.unique(w, return_inverse=True, return_counts=True)
+            n = times[back]
+            again = np.flatnonzero(n > 1)
+            # neighbouring windows of a run are given as one stretch
+            new = np.ones(len(again), bool)
+            new[1:] = (np.diff(again) != 1) | (np.diff(row[again]) != 0)
+            first = again[new]
+            last = again[np.append(np.flatnonzero(new)[1:] - 1, len(again) - 1)] if len(again) else again
+            begin = np.array(s)[row[first]] + at[first]
+            end = np.array(s)[row[last]] + at[last] + window
+            yield C.batch(_OCCURRENCE, id=np.array(ids)[row[first]], tk=np.array(keys)[row[first]], s=begin, e=end, repeat=w[first].view(np.int64),
+                          occurrences=n[first])
+
+        for b in batches:
+            for h1, part, *rest in zip(*(c.to_pylist() for c in b.columns)):
+                if held and (h1, part) != group:
+                    yield from found()
+                    held = []
+                group = (h1, part)
+                held.append(rest)
+        if held:
+            yield from found()
+
+    crowded = C.map_arrow(fetched.where(F.col("m") > array_runs).select("h1", "m", "id", "tk", "s", "run", "off", "bytes"), windows,
+                          "h1 long, part long, id long, tk long, s long, off int, w array<long>")
+    counted = C.map_arrow(crowded.repartition("h1", "part").sortWithinPartitions("h1", "part"), count, OCCURRENCE_SCHEMA)
     return whole.unionByName(arrayed).unionByName(counted), keyed
 
 
