@@ -172,6 +172,32 @@ def test_fingerprint_definition():
         assert got.tolist() == omh_brute(text, 3, 8, 2), text
 
 
+def omh_whole(text, k, bins, pick):
+    """The fingerprint from its definition, with whole hashes as keys."""
+    h = order_minhash.kmer_hashes(text, k).tolist()
+    mix = lambda v: int(order_minhash.C.mix64(np.array([v & (1 << 64) - 1], np.uint64))[0])
+    seen, by_bin, out = Counter(), {}, [0] * bins
+    for i, x in enumerate(h):
+        seen[x] += 1
+        v = mix(x + mix(seen[x]))
+        by_bin.setdefault(v >> (64 - (bins - 1).bit_length()), []).append((v, i))
+    for b, members in by_bin.items():
+        code = 0
+        for i in sorted(i for _, i in sorted(members)[:pick]):
+            code = mix(code * 0x9E3779B97F4A7C15 + h[i])
+        out[b] = (code >> 48) % 65535 + 1
+    return out
+
+
+def test_fingerprint_keys_do_not_depend_on_length():
+    text = " ".join(np.random.default_rng(3).permutation(["w%03d" % i for i in range(300)]))
+    for short, long in ((1020, 1030), (500, 520), (120, 130)):
+        a, b = text[:short + 6], text[:long + 6]  # so many 7-mers
+        assert order_minhash.likeness(order_minhash.fingerprint(a), order_minhash.fingerprint(b)) > 0.7
+    for text in ("", "a", "abcdefgh", "aaaaaaaaaaaaaaaaaa", "the quick brown fox the quick brown fox", "éñ日本 " * 30):
+        assert order_minhash.fingerprint(text, 3, 8, 2).tolist() == omh_whole(text, 3, 8, 2), text
+
+
 def test_fingerprint_sees_order_and_edits():
     rng = np.random.default_rng(2)
     words = ["w%03d" % i for i in range(300)]

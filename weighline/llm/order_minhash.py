@@ -53,21 +53,19 @@ def fingerprint(text: str, k: int = K, bins: int = BINS, pick: int = PICK) -> np
     n = len(h)
     if not n:
         return out
-    low = np.uint64(max(1, (n - 1).bit_length()))
-    mask = (np.uint64(1) << low) - np.uint64(1)
-    place = np.arange(n, dtype=np.uint64)
-    order = np.sort(h & ~mask | place)  # by k-mer, then by place; the lowest bits of a k-mer's hash give way to the place
-    kmers, at = order & ~mask, order & mask
+    at = np.argsort(h, kind="stable")  # by k-mer, then by place
+    kmers = h[at]
     first = np.flatnonzero(np.concatenate(([True], kmers[1:] != kmers[:-1])))
     number = np.arange(n) - np.repeat(first, np.diff(np.append(first, n)))
-    keyed = C.mix64((kmers >> low << low) + C.mix64(number.astype(np.uint64) + np.uint64(1)))
-    order = np.sort(keyed & ~mask | np.arange(n, dtype=np.uint64))  # the index into ``at`` in the lowest bits
-    edges = np.searchsorted(order, (np.arange(bins, dtype=np.uint64) << np.uint64(64 - (bins - 1).bit_length())))
+    keyed = C.mix64(kmers + C.mix64(number.astype(np.uint64) + np.uint64(1)))  # whole hashes: a k-mer's key is the same in every text
+    order = np.argsort(keyed, kind="stable")
+    keyed, at = keyed[order], at[order]
+    edges = np.searchsorted(keyed, (np.arange(bins, dtype=np.uint64) << np.uint64(64 - (bins - 1).bit_length())))
     ends = np.append(edges[1:], n)
     chosen = np.full((bins, pick), -1, np.int64)
     for p in range(pick):
         has = edges + p < ends
-        chosen[has, p] = at[(order[(edges + p)[has]] & mask).astype(np.int64)].astype(np.int64)
+        chosen[has, p] = at[(edges + p)[has]]
     chosen.sort(axis=1)  # text order; missing picks come first
     code = np.zeros(bins, np.uint64)
     for p in range(pick):
