@@ -192,6 +192,26 @@ def test_repeat_groups_hold_all_members():
     assert [(length, members, sorted(places)) for length, members, places in found] == [(10, 3, [(0, 2), (1, 1), (2, 0)])]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_occurrences_list_all_members(spark, seed):
+    """Every group lists all places of its string in the corpus, whatever runs and deeper groups they lie in."""
+    data = passages(seed)
+    data += [(100 + i, data[5][1] + "!" + data[6][1]) for i in range(4)] + [(110, "?" + data[5][1] + "?" + data[6][1])]
+    found, keyed = repeats.occurrences(table(spark, data), window=20, gram=4)
+    texts = [(r.id, r.tk, r.text.encode()) for r in keyed.collect()]
+    of, groups = {(i, tk): t for i, tk, t in texts}, {}
+    for r in found.collect():
+        groups.setdefault(r.repeat, []).append(r)
+    assert len(groups) > 10
+    for members in groups.values():
+        strings = {of[r.id, r.tk][r.s:r.e] for r in members}
+        assert len(strings) == 1 and len(next(iter(strings))) >= 20
+        piece = strings.pop()
+        want = sorted((i, tk, s) for i, tk, t in texts for s in range(len(t)) if t.startswith(piece, s))
+        assert sorted((r.id, r.tk, r.s) for r in members) == want
+        assert {r.occurrences for r in members} == {len(want)}
+
+
 def test_runs_of_parts(monkeypatch):
     """A long text cut into parts gives the same windows, none twice."""
     import pyarrow as pa

@@ -8,8 +8,9 @@ A byte goes if a string of ``WINDOW`` bytes that covers it starts anywhere else
 2. Anchors that occur once are dropped by one aggregate.  Runs whose bytes occur twice are repeated as a whole.
 3. Anchors with different runs need comparing: one run of each kind fetches its bytes, and an enhanced suffix array over the
    windows of all runs of an anchor is scanned with a stack.  The intervals of common prefix of at least ``WINDOW``
-   bytes form a tree; those whose members differ in the byte to their left are maximal repeats, and each is given out
-   with all its occurrences.
+   bytes form a tree; those whose members differ in the byte to their left are maximal repeats.  ``occurrences`` gives each
+   with all its occurrences, those in equal runs too; ``remove`` needs only rows that cover the same bytes.  A run's first
+   place counts as different from all others: the anchor before it covers its repeats only up to its own last window.
 4. Every document's repeats are joined and cut out.
 
 How it scales.  Counting is aggregated map-side, joins on anchors can be split when skewed.  A suffix array holds the
@@ -47,10 +48,12 @@ _RUN = pa.schema([("id", pa.int64()), ("tk", pa.int64()), ("s", pa.int64()), ("r
                   ("h2", pa.int64()), ("rid", pa.int64())])
 RUN_SCHEMA = "id long, tk long, s long, run int, off int, h1 long, h2 long, rid long"
 _CONTEXT = pa.schema([("h1", pa.int64()), ("m", pa.int64()), ("id", pa.int64()), ("tk", pa.int64()), ("s", pa.int64()), ("run", pa.int32()),
-                      ("off", pa.int32()), ("left", pa.int32()), ("bytes", pa.binary())])
-CONTEXT_SCHEMA = "h1 long, m long, id long, tk long, s long, run int, off int, left int, bytes binary"
+                      ("off", pa.int32()), ("h2", pa.int64()), ("n", pa.int64()), ("bytes", pa.binary())])
+CONTEXT_SCHEMA = "h1 long, m long, id long, tk long, s long, run int, off int, h2 long, n long, bytes binary"
 _OCCURRENCE = pa.schema([("id", pa.int64()), ("tk", pa.int64()), ("s", pa.int64()), ("e", pa.int64()), ("repeat", pa.int64()), ("occurrences", pa.int64())])
 OCCURRENCE_SCHEMA = "id long, tk long, s long, e long, repeat long, occurrences long"
+_MEMBER = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("p", pa.int64()), ("length", pa.int64()), ("repeat", pa.int64()), ("occurrences", pa.int64())])
+MEMBER_SCHEMA = "h1 long, h2 long, p long, length long, repeat long, occurrences long"
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 OUT_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -192,21 +195,24 @@ def common_prefix(levels: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.
     return out
 
 
-def maximal_repeats(texts: list[bytes], starts: list[int], left: list[int], least: int):
+def maximal_repeats(texts: list[bytes], starts: list[int], left: list[int], least: int, copies: list[int] | None = None, every: bool = False):
     """Maximal repeats of at least ``least`` bytes among the suffixes that begin in the first ``starts[t]`` places of
     text t: lists of (length, [(text, place)]).  ``left[t]``: the byte before text t, or -1 where a text's first place
     counts as different from all others.
 
     A stack scan over the common prefixes of neighbours in the suffix array closes each interval of the prefix tree once;
     an interval is a maximal repeat if not all its members have the same byte to their left.  Members are listed once, in
-    the deepest maximal repeat that holds them (the ones above it cover less)."""
+    the deepest maximal repeat that holds them (the ones above it cover less); with ``every``, in each that holds them.
+    ``copies[t]``: how many texts text t stands for; several make the whole text a repeat, given once for all of them."""
     order, levels, begins = suffix_array(texts)
     of = np.searchsorted(begins, order, side="right") - 1
     place = order - begins[of]
     keep = place < np.array(starts)[of]
     order, of, place = order[keep], of[keep], place[keep]
-    if len(order) < 2:
+    if len(order) < 2 and copies is None:
         return []
+    copied = np.ones(len(texts), np.int64) if copies is None else np.array(copies)
+    upto = np.concatenate(([0], np.cumsum(copied[of])))
     prefix = common_prefix(levels, order[:-1], order[1:])
     symbols = levels[0]
     before = np.where(place > 0, symbols[np.maximum(order - 1, 0)], -1 - order)  # a first place differs from every other
@@ -221,8 +227,8 @@ def maximal_repeats(texts: list[bytes], starts: list[int], left: list[int], leas
         if differs[rb] > differs[lb]:
             fresh = lb + np.flatnonzero(~listed[lb:rb + 1])
             if len(fresh):
-                listed[fresh] = True
-                out.append((length, rb - lb + 1, fresh))
+                listed[fresh] = not every
+                out.append((length, int(upto[rb + 1] - upto[lb]), fresh))
 
     long = np.flatnonzero(prefix >= least)
     previous = -2
@@ -239,13 +245,23 @@ def maximal_repeats(texts: list[bytes], starts: list[int], left: list[int], leas
         previous = i
     while stack:
         close(*stack.pop(), previous + 1)
+    size = np.array([len(t) for t in texts])[of]
+    longest = np.maximum(np.append(0, prefix), np.append(prefix, 0))  # shared with a neighbour
+    for j in np.flatnonzero((copied[of] > 1) & (place == 0) & (longest < size)).tolist():
+        out.append((int(size[j]), int(copied[of[j]]), np.array([j])))
     return [(length, members, [(int(of[j]), int(place[j])) for j in fresh]) for length, members, fresh in out]
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
                 array_runs: int = ARRAY_RUNS) -> tuple[DataFrame, DataFrame]:
     """(occurrences of repeats, keyed documents).  Occurrences: id, tk (key of the text), s, e (bytes), ``repeat`` (its
-    group) and the number of the group's members that were seen."""
+    group) and the number of the group's members.  Every group lists all its members, also those inside deeper groups."""
+    return stretches(docs, id_col, text_col, window, gram, array_runs, True)
+
+
+def stretches(docs: DataFrame, id_col: str, text_col: str, window: int, gram: int, array_runs: int, every: bool) -> tuple[DataFrame, DataFrame]:
+    """``every``: all members of all groups.  Otherwise what covers the same bytes: equal runs as a whole, and one run of
+    each kind in its deepest groups."""
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOW)).alias("id"), F.xxhash64(C.text_of(text_col)).alias("tk"),
                         C.text_of(text_col).alias("text"))
     rows = run_rows(keyed, window, gram)
@@ -253,13 +269,16 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     twice = C.table(rows.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "anchors")
     live = C.table(rows.join(twice, "h1", "left_semi"), "runs")
     kinds = C.table(live.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("rid").alias("rid")), "kinds")
-    whole = (live.join(kinds.where("n > 1").select("h1", "h2", "n"), ["h1", "h2"])
+    several = kinds.groupBy("h1").agg(F.count("*").alias("m")).where("m > 1")
+    alike = kinds.where("n > 1")
+    if every:  # an array has equal runs in its groups
+        alike = alike.join(several, "h1", "left").where(F.col("m").isNull() | (F.col("m") > array_runs))
+    whole = (live.join(alike.select("h1", "h2", "n"), ["h1", "h2"])
              .select("id", "tk", "s", (F.col("s") + F.col("run") - 1 + window).alias("e"), F.xxhash64("h1", "h2").alias("repeat"),
                      F.col("n").alias("occurrences")))
-    several = kinds.groupBy("h1").agg(F.count("*").alias("m")).where("m > 1")
-    chosen = kinds.join(several, "h1").select("rid", "m")
+    chosen = kinds.join(several, "h1").select("rid", "m", "n")
     compared = live.join(chosen, "rid")
-    wanted = compared.groupBy("id", "tk").agg(F.collect_set(F.struct("s", "run", "off", "h1", "m")).alias("wanted"))
+    wanted = compared.groupBy("id", "tk").agg(F.collect_set(F.struct("s", "run", "off", "h1", "m", "h2", "n")).alias("wanted"))
 
     def fetch(batches):
         for b in batches:
@@ -268,7 +287,7 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 raw = text.encode()
                 for w in want:
                     s, end = w["s"], w["s"] + w["run"] - 1 + window
-                    rows.append((w["h1"], w["m"], i, tk, s, w["run"], w["off"], raw[s - 1] if s else -1, raw[s:end]))
+                    rows.append((w["h1"], w["m"], i, tk, s, w["run"], w["off"], w["h2"], w["n"], raw[s:end]))
                 if len(rows) > 5_000:
                     yield C.batch(_CONTEXT, **dict(zip(_CONTEXT.names, zip(*rows))))
                     rows = []
@@ -276,20 +295,30 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield C.batch(_CONTEXT, **dict(zip(_CONTEXT.names, zip(*rows))))
 
     fetched = C.table(C.map_arrow(keyed.join(wanted, ["id", "tk"]).select("id", "tk", "text", "wanted"), fetch, CONTEXT_SCHEMA), "contexts")
+    if every:
+        fetched = fetched.dropDuplicates(["h1", "h2"])  # rows with one doc_id and text fetch a run each
+
+    given, given_schema = (_MEMBER, MEMBER_SCHEMA) if every else (_OCCURRENCE, OCCURRENCE_SCHEMA)
 
     def scan(batches):
         held, size, last = [], 0, None
 
         def found():
-            anchor, ids, keys, s, run, left, texts = zip(*held)
+            anchor, ids, keys, s, run, h2, n, texts = zip(*held)
             # a first place counts as different: what stands left of it belongs to another anchor
             rows = []
-            for length, members, places in maximal_repeats(list(texts), list(run), [-1] * len(texts), window):
+            for length, members, places in maximal_repeats(list(texts), list(run), [-1] * len(texts), window, list(n) if every else None, every):
                 t, p = places[0]
                 group = int.from_bytes(hashlib.blake2b(texts[t][p:p + length], digest_size=8).digest(), "big", signed=True)
-                rows += [(ids[t], keys[t], s[t] + p, s[t] + p + length, group, members) for t, p in places]
-            for i in range(0, len(rows), 20_000):
-                yield C.batch(_OCCURRENCE, **dict(zip(_OCCURRENCE.names, zip(*rows[i:i + 20_000]))))
+                if every:
+                    rows += [(anchor[t], h2[t], p, length, group, members) for t, p in places]
+                else:
+                    rows += [(ids[t], keys[t], s[t] + p, s[t] + p + length, group, members) for t, p in places]
+                if len(rows) > 20_000:
+                    yield C.batch(given, **dict(zip(given.names, zip(*rows))))
+                    rows = []
+            if rows:
+                yield C.batch(given, **dict(zip(given.names, zip(*rows))))
 
         for b in batches:
             for row in zip(*(c.to_pylist() for c in b.columns)):
@@ -301,24 +330,24 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if held:
             yield from found()
 
-    arrayed = C.map_arrow(fetched.where(F.col("m") <= array_runs).select("h1", "id", "tk", "s", "run", "left", "bytes")
-                          .repartition("h1").sortWithinPartitions("h1"), scan, OCCURRENCE_SCHEMA)
+    arrayed = C.map_arrow(fetched.where(F.col("m") <= array_runs).select("h1", "id", "tk", "s", "run", "h2", "n", "bytes")
+                          .repartition("h1").sortWithinPartitions("h1"), scan, given_schema)
     counted_schema = pa.schema([("h1", pa.int64()), ("part", pa.int64()), ("id", pa.int64()), ("tk", pa.int64()), ("s", pa.int64()), ("off", pa.int32()),
-                                ("w", pa.list_(pa.int64()))])
+                                ("h2", pa.int64()), ("n", pa.int64()), ("at", pa.int32()), ("w", pa.list_(pa.int64()))])
     offsets = window - gram + 1  # an anchor stands at one of so many places of a window
 
     def windows(batches):
         """A crowded anchor's runs, cut where the anchor's place in the window passes from one part to the next."""
         for b in batches:
             rows = []
-            for h1, m, i, tk, s, run, off, raw in zip(*(c.to_pylist() for c in b.columns)):
+            for h1, m, i, tk, s, run, off, h2, n, raw in zip(*(c.to_pylist() for c in b.columns)):
                 at = np.arange(run)
                 hashes = RangeHash(BYTES[np.frombuffer(raw, np.uint8)]).of(at, at + window).view(np.int64)
                 width = max(1, offsets * array_runs // m)
                 split = max(1, m // (offsets * array_runs))  # more runs than places can part: by hash as well
                 part = (off - at) // width * split + hashes % split
                 edges = [0, *(np.flatnonzero(np.diff(part)) + 1), run]
-                rows += [(h1, int(part[x]), i, tk, s + x, off - x, hashes[x:y]) for x, y in zip(edges, edges[1:])]
+                rows += [(h1, int(part[x]), i, tk, s + x, off - x, h2, n, x, hashes[x:y]) for x, y in zip(edges, edges[1:])]
             if rows:
                 yield C.batch(counted_schema, **dict(zip(counted_schema.names, zip(*rows))))
 
@@ -326,23 +355,25 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         held, group = [], None
 
         def found():
-            ids, keys, s, off, hashes = zip(*held)
+            ids, keys, s, off, h2, copies, begun, hashes = (np.array(x) if i < 7 else x for i, x in enumerate(zip(*held)))
             lengths = np.array([len(h) for h in hashes])
             row = np.repeat(np.arange(len(held)), lengths)
             at = np.arange(len(row)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            w = np.concatenate(hashes).astype(np.uint64) + C.mix64((np.array(off)[row] - at).astype(np.uint64))
+            w = np.concatenate(hashes).astype(np.uint64) + C.mix64((off[row] - at).astype(np.uint64))
             _, back, times = np.unique(w, return_inverse=True, return_counts=True)
-            n = times[back]
-            again = np.flatnonzero(n > 1)
+            n = np.bincount(back, copies[row]).astype(np.int64)[back]
+            again = np.flatnonzero(times[back] > 1)
             # neighbouring windows of a run are given as one stretch
             new = np.ones(len(again), bool)
             new[1:] = (np.diff(again) != 1) | (np.diff(row[again]) != 0)
             first = again[new]
             last = again[np.append(np.flatnonzero(new)[1:] - 1, len(again) - 1)] if len(again) else again
-            begin = np.array(s)[row[first]] + at[first]
-            end = np.array(s)[row[last]] + at[last] + window
-            yield C.batch(_OCCURRENCE, id=np.array(ids)[row[first]], tk=np.array(keys)[row[first]], s=begin, e=end, repeat=w[first].view(np.int64),
-                          occurrences=n[first])
+            begin, end = at[first], at[last] + window
+            of, common = row[first], {"repeat": w[first].view(np.int64), "occurrences": n[first]}
+            if every:
+                yield C.batch(_MEMBER, h1=np.full(len(of), group[0]), h2=h2[of], p=begun[of] + begin, length=end - begin, **common)
+            else:
+                yield C.batch(_OCCURRENCE, id=ids[of], tk=keys[of], s=s[of] + begin, e=s[of] + end, **common)
 
         for b in batches:
             for h1, part, *rest in zip(*(c.to_pylist() for c in b.columns)):
@@ -354,16 +385,20 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if held:
             yield from found()
 
-    crowded = C.map_arrow(fetched.where(F.col("m") > array_runs).select("h1", "m", "id", "tk", "s", "run", "off", "bytes"), windows,
-                          "h1 long, part long, id long, tk long, s long, off int, w array<long>")
-    counted = C.map_arrow(crowded.repartition("h1", "part").sortWithinPartitions("h1", "part"), count, OCCURRENCE_SCHEMA)
-    return whole.unionByName(arrayed).unionByName(counted), keyed
+    crowded = C.map_arrow(fetched.where(F.col("m") > array_runs).select("h1", "m", "id", "tk", "s", "run", "off", "h2", "n", "bytes"), windows,
+                          "h1 long, part long, id long, tk long, s long, off int, h2 long, n long, at int, w array<long>")
+    counted = C.map_arrow(crowded.repartition("h1", "part").sortWithinPartitions("h1", "part"), count, given_schema)
+    rest = arrayed.unionByName(counted)
+    if every:  # a kind's place in a group is that of all its runs
+        rest = (rest.join(live.select("h1", "h2", "id", "tk", "s"), ["h1", "h2"])
+                .select("id", "tk", (F.col("s") + F.col("p")).alias("s"), (F.col("s") + F.col("p") + F.col("length")).alias("e"), "repeat", "occurrences"))
+    return whole.unionByName(rest), keyed
 
 
 def remove(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM,
            array_runs: int = ARRAY_RUNS) -> DataFrame:
     """Per document: bytes, bytes and spans removed, and the digest of what is left."""
-    found, keyed = occurrences(docs, id_col, text_col, window, gram, array_runs)
+    found, keyed = stretches(docs, id_col, text_col, window, gram, array_runs, False)
     marks = found.groupBy("id", "tk").agg(F.collect_set(F.struct("s", "e")).alias("marks"))
 
     def cut(batches):
