@@ -36,8 +36,12 @@ KINDS = (*BASE_KINDS, "key", "ssh", "jwt")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
 #: Base64 of a JSON object's opening brace and what may follow it.
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])e(?:yJ|yA|wo|w0|wk)[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-#: A key in lines of base64, as tools write it.
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)KEY-----\s+([A-Za-z0-9+/=\s]+?)\s*-----END \1KEY-----")
+#: A key in lines of base64, as tools write it; in a quoted string, line ends are a backslash and a letter.
+LINE_ENDS = re.compile(r"\s+|\\+[nr]")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)KEY-----(?=\s|\\)((?:[A-Za-z0-9+/=\s]|\\+[nr])+)-----END \1KEY-----")
+#: Within a candidate: a piece between signs, and where base64 of an ASN.1 sequence or of an OpenSSH key may begin after a sign.
+PIECE = re.compile(r"[A-Za-z0-9]{40,}")
+BEGINS = re.compile(r"(?<![A-Za-z0-9])(?=M[A-P][A-Za-z0-9+/_-]{6}|b3BlbnNzaC1rZXktdjEA)")
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
                   ("base_sha256", pa.string()), ("spans", pa.string()), ("n_confirmed", pa.int64())])
@@ -137,6 +141,25 @@ def decoded(candidate: str) -> list[bytes]:
     return out
 
 
+def glued(candidate: str) -> list[tuple[int, int]]:
+    """Parts of the candidate, set off by signs that base64 has too, that may stand for a key: (start, end)."""
+    body = candidate.rstrip("=")
+    found = [m.span() for m in PIECE.finditer(body)]
+    for m in BEGINS.finditer(body):
+        at = m.start()
+        if body[at] == "M":  # the sequence's own length tells where it ends
+            head = base64.b64decode(body[at:at + 8].replace("-", "+").replace("_", "/"))
+            size = head[1] & 0x7F if head[1] & 0x80 else 0
+            total = 2 + size + (int.from_bytes(head[2:2 + size], "big") if size else head[1])
+            end = at + -(-total * 4 // 3)
+            if size <= 4 and (end == len(body) or end < len(body) and body[end] in "+/_-"):
+                found.append((at, end))
+        else:
+            stops = [x.start() for x in (re.search(signs, body[at:]) for signs in ("[-_]", "[+/]")) if x]
+            found += [(at, len(body)), *((at, at + x) for x in stops)]
+    return [(s, len(candidate) if e == len(body) else e) for s, e in dict.fromkeys(found) if e - s < len(body)]
+
+
 def _json(part: str) -> dict | None:
     try:
         x = json.loads(base64.urlsafe_b64decode(part + "=" * (-len(part) % 4)))
@@ -156,15 +179,16 @@ def confirmed_spans(text: str) -> list[Span]:
     for m in TOKEN.finditer(text):
         if is_signed_token(m[0]):
             found.append((m.start(), 5, m.end()))
-    candidates = [(m.start(), m.end(), m[0]) for m in CANDIDATE.finditer(text)]
+    def keys(start: int, end: int, candidate: str) -> list[Span]:
+        kinds = [3 if is_key(data) else 4 for data in decoded(candidate) if is_key(data) or is_ssh(data)]
+        return [(start, kind, end) for kind in kinds]
+
+    for m in CANDIDATE.finditer(text):
+        whole = keys(m.start(), m.end(), m[0])
+        found += whole or [k for s, e in glued(m[0]) for k in keys(m.start() + s, m.start() + e, m[0][s:e])]
     if "-----BEGIN " in text:
-        candidates += [(m.start(), m.end(), re.sub(r"\s+", "", m[2])) for m in ARMOUR.finditer(text)]
-    for start, end, candidate in candidates:
-        for data in decoded(candidate):
-            if is_key(data):
-                found.append((start, 3, end))
-            elif is_ssh(data):
-                found.append((start, 4, end))
+        for m in ARMOUR.finditer(text):
+            found += keys(m.start(), m.end(), LINE_ENDS.sub("", m[2]))
     return found
 
 
