@@ -157,38 +157,6 @@ def test_lang_is_no_input_of_a_prediction(spark):
     assert a == sorted((r.lang_pred, r.score) for r in language_id.predict(mixed, model=model).collect())
 
 
-def omh_brute(text, k, bins, pick):
-    """The fingerprint from its definition, one k-mer at a time (the library's 64-bit scrambling is shared)."""
-    h = order_minhash.kmer_hashes(text, k)
-    n, out = len(h), [0] * bins
-    if not n:
-        return out
-    low = max(1, (n - 1).bit_length())
-    mask, seen, by_bin = (1 << low) - 1, Counter(), {}
-    places = {}
-    for i, x in enumerate(h.tolist()):
-        places.setdefault(x >> low << low, []).append(i)
-    number = {i: c for group in places.values() for c, i in enumerate(group)}
-    mix = lambda v: int(order_minhash.C.mix64(np.array([v & (1 << 64) - 1], np.uint64))[0])
-    ordered = sorted(range(n), key=lambda i: (h.tolist()[i] >> low, i))
-    rank = {i: r for r, i in enumerate(ordered)}
-    for i, x in enumerate(h.tolist()):
-        v = mix((x >> low << low) + mix(number[i] + 1))
-        by_bin.setdefault(v >> (64 - (bins - 1).bit_length()), []).append(((v & ~mask) | rank[i], i))
-    for b, members in by_bin.items():
-        code = 0
-        for i in sorted(i for _, i in sorted(members)[:pick]):
-            code = mix(code * 0x9E3779B97F4A7C15 + h.tolist()[i])
-        out[b] = (code >> 48) % 65535 + 1
-    return out
-
-
-def test_fingerprint_definition():
-    for text in ("", "a", "abcdefgh", "aaaaaaaaaaaaaaaaaa", "the quick brown fox the quick brown fox", "éñ日本 " * 30):
-        got = order_minhash.fingerprint(text, 3, 8, 2)
-        assert got.tolist() == omh_brute(text, 3, 8, 2), text
-
-
 def omh_whole(text, k, bins, pick):
     """The fingerprint from its definition, with whole hashes as keys."""
     h = order_minhash.kmer_hashes(text, k).tolist()

@@ -37,6 +37,34 @@ def test_word_cache_equals_library(word):
         assert np.frombuffer(enc.ids([text])[0], enc.dtype).tolist() == word.encode(text, add_special_tokens=False).ids, text
 
 
+def test_words_that_end_in_a_mark(word):
+    """Letters whose normal or lower-case form ends in a combining mark, which the library joins with what follows."""
+    import unicodedata
+    marked = [chr(c) for c in range(0x80, 0x30000) if chr(c).isalpha() and unicodedata.category(unicodedata.normalize("NFC", chr(c)).lower()[-1])[0] == "M"]
+    assert len(marked) >= 60
+    enc = encoding.Encoder(WORD)
+    texts = [f"a{m}{stop} {m}{stop} q" for m in marked for stop in (",", ".", "!!")]
+    rng = np.random.default_rng(7)
+    letters = [*"abcXYZ019äßÑéµªº.,;:!?'%&-<|>\"", "हय", "İ", "Σ", "한", "ﬁ", "\u0301", "\u09df"]
+    texts += [" ".join("".join(rng.choice(letters, rng.integers(1, 7))) for _ in range(20)) for _ in range(400)]
+    got = [np.frombuffer(x, enc.dtype).tolist() for x in enc.ids(texts)]
+    assert got == [e.ids for e in word.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_joined_words_fall_back(word, monkeypatch):
+    monkeypatch.setattr(encoding, "JOINED_WORDS", 3)
+    enc = encoding.Encoder(WORD)
+    enc.ends_word[:] = False
+    assert np.frombuffer(enc.ids(["one two three four"])[0], enc.dtype).tolist() == word.encode("one two three four", add_special_tokens=False).ids
+
+
+def test_dictionary_of_long_texts_only(spark):
+    long = [(i, f"word{i} of a long text " * 2_000) for i in range(30)]
+    assert token_files.train_dictionary(table(spark, long), WORD, END_ID)
+    assert token_files.train_dictionary(table(spark, [(1, None), (2, ""), (3, "x")]), WORD, END_ID)
+    assert token_files.train_dictionary(table(spark, [(1, None), (2, "")]), WORD, END_ID) == b""
+
+
 def test_cache_generations(word, monkeypatch):
     monkeypatch.setattr(encoding, "CACHE_WORDS", 3)
     enc = encoding.Encoder(WORD)

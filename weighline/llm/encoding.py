@@ -8,12 +8,15 @@ from __future__ import annotations
 
 import json
 import os
+import string
 from collections.abc import Iterable
 
 import numpy as np
 
 #: Words kept by one generation of the cache; two generations are held.
 CACHE_WORDS = 400_000
+#: Unknown plain words given to the library as one text.
+JOINED_WORDS = 2_000
 #: Fixed value: the split pattern, known to match no white space, of the word tokenizer.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -39,6 +42,12 @@ def splits_on_space(config: dict) -> bool:
             and not any(a["lstrip"] or a["rstrip"] or a["single_word"] for a in config["added_tokens"]))
 
 
+def plain(word: str) -> bool:
+    """Letters of Latin-1 only.  Their composed and lower-cased forms are letters again, so such a word is one pre-token,
+    and ASCII punctuation after it is another.  Elsewhere a normal form may end in a combining mark, which joins the punctuation."""
+    return word.isalpha() and max(word) < "\u0100"
+
+
 class Encoder:
     """``ids(text)`` gives little-endian unsigned ids of the width ``dtype``, without special tokens added."""
 
@@ -51,7 +60,11 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
-        self.by_word = splits_on_space(config)
+        suffix = config["model"].get("end_of_word_suffix")
+        self.by_word = splits_on_space(config) and bool(suffix)
+        self.ends_word = np.zeros(self.library.get_vocab_size(), bool)
+        if self.by_word:
+            self.ends_word[[i for token, i in config["model"]["vocab"].items() if token.endswith(suffix)]] = True
         self.new: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
 
@@ -59,8 +72,24 @@ class Encoder:
         return [np.array(e.ids, dtype=self.dtype).tobytes()
                 for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of plain words: many are encoded as one text and told apart by the tokens that end a word."""
+        out: list[bytes] = []
+        for at in range(0, len(words), JOINED_WORDS):
+            part = words[at:at + JOINED_WORDS]
+            whole = np.frombuffer(self.library_ids([" ".join(part)])[0], self.dtype)
+            ends = np.flatnonzero(self.ends_word[whole]) + 1
+            if len(ends) == len(part):
+                data, width = whole.tobytes(), whole.itemsize
+                cuts = [0, *(ends * width).tolist()]
+                out += [data[a:e] for a, e in zip(cuts, cuts[1:])]
+            else:
+                out += self.library_ids(part)
+        return out
+
     def learn(self, words: Iterable[str]) -> None:
-        """Put words into the cache.  A word of letters with one stop after it is its letters, then the stop."""
+        """Put words into the cache.  A plain word with ASCII punctuation after it is the word, then the
+        punctuation."""
         new, old = self.new, self.old
         missing, composed = set(), []
         for w in words:
@@ -68,20 +97,24 @@ class Encoder:
                 continue
             if w in old:
                 new[w] = old[w]
-            elif w[-1] in ".,;:!?" and w[:-1].isalpha():
-                composed.append(w)
-                missing.update(x for x in (w[:-1], w[-1]) if x not in new)
+                continue
+            stem = w.rstrip(string.punctuation)
+            if len(stem) < len(w) and plain(stem):
+                parts = stem, w[len(stem):]
+                composed.append((w, *parts))
+                missing.update(x for x in parts if x not in new)
             else:
                 missing.add(w)
-        unknown = []
+        letters, others = [], []
         for w in missing:
             if w in old:
                 new[w] = old[w]
             else:
-                unknown.append(w)
-        new.update(zip(unknown, self.library_ids(unknown)))
-        for w in composed:
-            new[w] = new[w[:-1]] + new[w[-1]]
+                (letters if plain(w) else others).append(w)
+        new.update(zip(letters, self.word_ids(letters)))
+        new.update(zip(others, self.library_ids(others)))
+        for w, stem, tail in composed:
+            new[w] = new[stem] + new[tail]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of every text."""

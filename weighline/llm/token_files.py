@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from weighline.llm import common as C
 from weighline.llm.encoding import encoder
 
-#: The dictionary is trained on at most so many documents of at most so many characters, those of the smallest hash.
-TRAIN_DOCUMENTS, TRAIN_CHARS, DICTIONARY_BYTES = 400, 8_000, 16_384
+#: The dictionary is trained on about so many documents of any length, and on at most so many ids of each.
+TRAIN_DOCUMENTS, TRAIN_IDS, DICTIONARY_BYTES = 400, 4_000, 16_384
+#: Characters of a drawn text that are sent to the driver.
+TRAIN_CHARS = 20_000
 #: A block ends after so many compressed bytes or documents; a shard aims at so many tokens.
 BLOCK_BYTES, BLOCK_DOCUMENTS, SHARD_TOKENS = 1 << 20, 4_096, 16_000_000
 LEVEL = 3
@@ -65,15 +67,24 @@ def _zdict(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> bytes:
-    """A dictionary trained on the serialized ids of a bounded sample (see ``TRAIN_DOCUMENTS``)."""
-    text = C.text_of(text_col)
-    rows = (docs.select(text.alias("t"), F.xxhash64(F.col(id_col), text).alias("h"))
-            .where((F.length("t") > 0) & (F.length("t") <= TRAIN_CHARS)).orderBy("h").limit(TRAIN_DOCUMENTS).collect())
+    """A dictionary trained on the serialized ids of a bounded sample (see ``TRAIN_DOCUMENTS``).
+
+    The sample is drawn by a hash of the id from the documents that have a text, of any length; of a long text a part is
+    used, since a dictionary gains nothing from one document's tail.  It only changes how well frames are compressed.
+    """
+    text = F.substring(F.col(text_col), 1, TRAIN_CHARS)
+    full = docs.where(F.length(text_col) > 0)
+    share = min(1.0, 2 * TRAIN_DOCUMENTS / max(1, docs.count()))
+    below = F.lit(min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))
+    drawn = full.select(text.alias("t"), F.xxhash64(F.col(id_col)).alias("h"))
+    rows = drawn.where(F.col("h") <= below).limit(TRAIN_DOCUMENTS).collect()
+    if not rows:  # fewer texts than the share allows for, or none: any will do
+        rows = drawn.limit(TRAIN_DOCUMENTS).collect()
     if not rows:
         return b""
     enc = encoder(tokenizer)
-    end = np.array([end_id], dtype=enc.dtype).tobytes()
-    samples = [ids + end for ids in enc.ids([r["t"] for r in rows])]
+    end, width = np.array([end_id], dtype=enc.dtype).tobytes(), np.dtype(enc.dtype).itemsize
+    samples = [ids[:TRAIN_IDS * width] + end for ids in enc.ids([r["t"] for r in rows])]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
     except zstandard.ZstdError:  # too few samples to train on: their bytes themselves serve as the dictionary
