@@ -136,12 +136,12 @@ def test_batch_run_twice_changes_nothing(spark, feed, at_once, tmp_path):
         pl.run_batch(rw.load_raw(spark, feed), lookups(spark), root)
         seen.append({t: sorted(map(str, spark.read.parquet(f"{root}/{t}").collect())) for t in tables})
     assert seen[0] == seen[1] and len(seen[0]["batches"]) == at_once.batches.count()
-    report = spark.read.json(f"{root}/daily_production/epoch=0/productions")
+    report = spark.read.json(f"{root}/daily_production/productions/epoch=0")
     assert report.count() == at_once.batches.where("recorded").count()
 
 
 def test_stream_reports(spark, streamed, at_once):
-    report = spark.read.json([f"{streamed}/daily_production/epoch={n}/productions" for n in range(4)])
+    report = spark.read.json([f"{streamed}/daily_production/productions/epoch={n}" for n in range(4)])
     assert report.count() == at_once.batches.where("recorded").count()
     done = spark.read.parquet(streamed + "/audit").where("status = 'ok'").agg(F.sum("messages")).first()[0]
     assert done == 1000
