@@ -57,14 +57,29 @@ def _wrapped() -> Column:
     return F.when(trimmed.startswith("[") | (trimmed == ""), trimmed).otherwise(F.concat(F.lit("["), trimmed, F.lit("]")))
 
 
-def _objects() -> Column:
+#: Names and strings need double quotes, as in every JSON standard.
+_JSON = {"allowSingleQuotes": "false"}
+
+
+def _objects(shape: T.DataType | str) -> Column:
     """The payload's objects, or null when it is not JSON or holds anything but objects.
 
     ``values.`` is removed from dotted key names first.
     """
     text = _wrapped()
     plain = F.when(text.contains('"values.'), F.regexp_replace(text, r'(?<!\\)"values\.([^"]*)"(\s*:)', '"$1"$2'))
-    return F.from_json(F.coalesce(plain, text), _RECORDS)
+    return F.from_json(F.coalesce(plain, text), shape, _JSON)
+
+
+def _read(raw: DataFrame, shape: T.DataType | str) -> DataFrame:
+    """Every message with its text, its objects (``_records``) and why it is unusable (``dead_reason``).
+
+    The objects come out of a generator of one row, so that filters and later columns use them as a column instead of
+    each parsing the payload again.
+    """
+    parsed = raw.select("topic", "received_at", "attempts", "payload",
+                        F.inline_outer(F.array(F.struct(_objects(shape).alias("_records")))))
+    return parsed.select("topic", "received_at", "attempts", _body().alias("data"), rejection(F.col("_records")).alias("dead_reason"), "_records")
 
 
 def rejection(records: Column) -> Column:
@@ -84,12 +99,9 @@ def parse_all(raw: DataFrame) -> DataFrame:
     aliases in order, then the same inside a nested ``values`` object.  Columns are addressed by position because devices
     use names that differ only in case.
     """
-    records = _objects()
     ahead = ["topic", "received_at", "attempts", "data", "dead_reason"]
-    read = raw.select("topic", "received_at", "attempts", _body().alias("data"), rejection(records).alias("dead_reason"),
-                      records.alias("_records"))
     # an empty list is a usable payload without records
-    read = read.where(F.col("dead_reason").isNotNull() | (F.size("_records") > 0))
+    read = _read(raw, _RECORDS).where(F.col("dead_reason").isNotNull() | (F.size("_records") > 0))
     flat = read.select(*ahead, F.inline_outer(F.when(F.col("dead_reason").isNull(), F.col("_records"))))
     top = [f"f{i}" for i in range(len(NAMES))]
     inner = [f"v{i}" for i in range(len(NAMES))]
@@ -125,9 +137,7 @@ def letters_of(parsed: DataFrame) -> DataFrame:
 
 def dead_letters(raw: DataFrame) -> DataFrame:
     """Rejected payloads: ``timestamp, topic, reason, data``.  Only the shape matters here, so one field is enough to read."""
-    shape = F.from_json(_wrapped(), "array<struct<identity: string>>")
-    return (raw.select(F.col("received_at").alias("timestamp"), "topic", rejection(shape).alias("reason"), _body().alias("data"))
-            .where("reason IS NOT NULL"))
+    return letters_of(_read(raw, "array<struct<identity: string>>"))
 
 
 def retry_split(failed: DataFrame, max_retries: int = S.MAX_RETRIES) -> DataFrame:
