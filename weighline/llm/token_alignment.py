@@ -10,7 +10,8 @@ Segments.  Neither tokenizer has a token that goes on after a letter across a pl
 pre-tokens start at the space, and no piece of B has a space after another character (checked on its vocabulary; a model
 that does gets whole texts).  So a text is cut at single spaces between two characters that are not white space, and a
 segment's tokens, groups and links are worked out once while a worker keeps it; it keeps a bounded number, frequent ones
-longest.
+longest.  A word with ASCII punctuation after an ASCII letter is put together from the word and the punctuation where no
+piece of B has that letter and mark side by side: A's pre-tokens part there as well.
 
 Counts.  Texts are encoded in one pass, which writes each document's figures and its distinct linked pairs.  Counts are a
 sum over those with map-side combination; the best of a B id is a second sum over its pairs.  To add a document's counts
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -54,6 +56,8 @@ _GROUPS = pa.schema([("doc_id", pa.int64()), ("groups", pa.list_(pa.struct([("en
 _GAPS = re.compile(r"\s{2,}|\s\Z")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _HOLD = "\ue000"
+#: Marks the name of punctuation that follows a letter; no text holds it.
+_AFTER = "\udc00"
 
 _aligners: dict[tuple[str, str], "Aligner"] = {}
 
@@ -119,6 +123,7 @@ class Aligner:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.a_length, self.b_length = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
         self.local = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.together = {x + y for p in pieces for x, y in zip(p, p[1:])}  # characters that some piece of B has side by side
         self.clear()
 
     def clear(self) -> None:
@@ -155,22 +160,56 @@ class Aligner:
         """The numbers of every row's segments, good until the next call; new segments are worked out."""
         if len(self.number) > CACHE_SEGMENTS:
             self.forget()
-        plain, apart = [], []
-        for s in dict.fromkeys(chain.from_iterable(rows)):
-            if s not in self.number:
-                (plain if self.local and s and not s[0].isspace() and not s[-1].isspace() else apart).append(s)
+        plain, apart, tails, composed = [], [], {}, []
+        new = [s for s in dict.fromkeys(chain.from_iterable(rows)) if s not in self.number]
+        if self.local:
+            wanted = {}
+            for s in new:
+                stem = s.rstrip(string.punctuation)
+                letter = stem[-1:]
+                if len(stem) < len(s) and letter.isascii() and letter.isalpha() and not stem[0].isspace() and letter + s[len(stem)] not in self.together:
+                    tail = s[len(stem):]
+                    composed.append((s, stem, _AFTER + tail))
+                    wanted[stem] = None
+                    if _AFTER + tail not in self.number:
+                        tails[tail] = letter  # any such letter will do
+                elif s and not s[0].isspace() and not s[-1].isspace():
+                    wanted[s] = None
+                else:
+                    apart.append(s)
+            plain = [s for s in wanted if s not in self.number]
+        else:
+            apart = new
         parts = [x for k in range(0, len(plain), JOINED) for x in self.work_out(plain[k:k + JOINED])]
         parts += [x for s in apart for x in self.work_out([s])]
+        parts += [x for tail, letter in tails.items() for x in self.work_out([tail], letter)]
+        self._add(parts)
+        if composed:
+            self._add([self.put_together(*map(list, zip(*composed)))])
+        get = self.number.__getitem__
+        found = [np.fromiter(map(get, row), np.int64, len(row)) for row in rows]
+        self.met += np.bincount(np.concatenate((*found, np.empty(0, np.int64))), minlength=len(self.met))
+        return found
+
+    def _add(self, parts: list[tuple[np.ndarray, ...]]) -> None:
         if parts:
             sizes, wide, links, valid = map(list, zip(*parts))
             self.sizes, self.pairs = np.concatenate((self.sizes, *sizes)), np.concatenate((self.pairs, *wide))
             self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(np.concatenate(links))))
             self.valid = np.concatenate((self.valid, *valid))
+            self.met = np.concatenate((self.met, np.zeros(len(self.number) - len(self.met), np.int64)))
+
+    def put_together(self, words: list[str], stems: list[str], tails: list[str]) -> tuple[np.ndarray, ...]:
+        """Number words whose two parts are known."""
         get = self.number.__getitem__
-        found = [np.fromiter(map(get, row), np.int64, len(row)) for row in rows]
-        self.met = np.concatenate((self.met, np.zeros(len(self.number) - len(self.met), np.int64)))
-        self.met += np.bincount(np.concatenate((*found, np.empty(0, np.int64))), minlength=len(self.met))
-        return found
+        stem, tail = (np.fromiter(map(get, x), np.int64, len(x)) for x in (stems, tails))
+        self.met += np.bincount(np.concatenate((stem, tail, tail)), minlength=len(self.met))
+        both = np.stack((stem, tail), axis=1).ravel()
+        valid = self.valid[stem] & self.valid[tail]
+        first = len(self.number)
+        self.number.update(zip(words, range(first, first + len(words))))
+        self.text += [f"{self.text[i]};{self.text[j]}" for i, j in zip(stem.tolist(), tail.tolist())]
+        return self.sizes[stem] + self.sizes[tail], self.links(both), np.diff(self.bounds)[both].reshape(-1, 2).sum(axis=1), valid
 
     def tokens(self, text: str) -> tuple[list[int], np.ndarray, list[int], np.ndarray] | None:
         """Ids and byte ends of both, over a space and the text; None where either does not spell those bytes."""
@@ -191,18 +230,25 @@ class Aligner:
         begin[:1] = 0
         return a, a_ends, b, ends_of(begin, end, self.b_length[b])
 
-    def work_out(self, some: list[str]) -> list[tuple[np.ndarray, ...]]:
-        """Number these segments, encoded as one text: sizes, linked pairs, links of each, whether they have tokens."""
-        found = self.tokens(" ".join(some))
+    def work_out(self, some: list[str], stem: str = "") -> list[tuple[np.ndarray, ...]]:
+        """Number these segments, encoded as one text: sizes, linked pairs, links of each, whether they have tokens.
+
+        With a ``stem`` there is one, the punctuation that follows that letter; the letter's tokens are left out.
+        """
+        found = self.tokens(stem + " ".join(some))
         if found is None and len(some) > 1:
             return [x for s in some for x in self.work_out([s])]
         first = len(self.number)
-        self.number.update(zip(some, range(first, first + len(some))))
+        self.number.update(zip([_AFTER + s for s in some] if stem else some, range(first, first + len(some))))
         if found is None:
             self.text.append("")
             return [(np.zeros((1, 3), np.int64), np.empty(0, np.int64), np.zeros(1, np.int64), np.zeros(1, bool))]
         a, a_ends, b, b_ends = found
         stops = np.cumsum([1 + len(s) if s.isascii() else 1 + len(s.encode()) for s in some])
+        if stem:
+            skip = 1 + len(stem.encode())
+            i, j = np.searchsorted(a_ends, skip) + 1, np.searchsorted(b_ends, skip) + 1
+            a, a_ends, b, b_ends, stops = a[i:], a_ends[i:] - skip, b[j:], b_ends[j:] - skip, stops - 1
         links = np.union1d(a_ends, b_ends)
         of_a, of_b = np.searchsorted(a_ends, links), np.searchsorted(b_ends, links)
         both = (a_ends[of_a] == links) & (b_ends[of_b] == links)
