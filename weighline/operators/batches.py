@@ -82,7 +82,8 @@ def _runs(points: DataFrame, measures: dict[str, str]) -> DataFrame:
                  *_combine(measures)))
 
 
-def _prepare(df: DataFrame, article_col: str, width_seconds: int) -> tuple[DataFrame, dict[str, str]]:
+def prepare(df: DataFrame, article_col: str = "number_refactor", width_seconds: int = S.SLICE_SECONDS) -> tuple[DataFrame, dict[str, str]]:
+    """What segmentation needs of every record, and how its measures are combined."""
     specs = _measures(df)
     rows = df.where(F.col("timestamp").isNotNull()).select(
         F.coalesce("mqtt_topic", F.lit("unknown")).alias("mqtt_topic"),
@@ -99,7 +100,7 @@ def _prepare(df: DataFrame, article_col: str, width_seconds: int) -> tuple[DataF
 def fragment(df: DataFrame, article_col: str = "number_refactor", width_seconds: int = S.SLICE_SECONDS,
              target: int = S.SLICE_TARGET_ROWS) -> "Fragments":
     """Article runs per (line, slice): ``run`` counts them inside the slice."""
-    rows, measures = _prepare(df, article_col, width_seconds)
+    rows, measures = prepare(df, article_col, width_seconds)
     key = [*LINE, "slice_us"]
     per_slice = Window.partitionBy(*key)
     first = F.min("article").over(per_slice) == F.col("article")
@@ -188,7 +189,7 @@ def segment(df: DataFrame, article_col: str = "number_refactor", max_gap_seconds
                     .alias("reason_code"),
                     F.max("seed_sequence").alias("seed_sequence"), *_combine(measures)))
     plain = materialize(grouped, "batches")
-    return Segments(chained, _number(plain, counters, target, open_batches is not None), frag.slicing, measures)
+    return Segments(chained, number(plain, counters, target, open_batches is not None), frag.slicing, measures)
 
 
 def _seed_runs(open_batches: DataFrame, measures: dict[str, str]) -> DataFrame:
@@ -203,7 +204,7 @@ def _seed_runs(open_batches: DataFrame, measures: dict[str, str]) -> DataFrame:
         F.when(F.col("reason") == "timeout", _TIMEOUT).otherwise(_NEW).alias("seed_reason"))
 
 
-def _number(plain: DataFrame, counters: DataFrame | None, target: int, with_seeds: bool) -> DataFrame:
+def number(plain: DataFrame, counters: DataFrame | None, target: int, with_seeds: bool) -> DataFrame:
     """Closing times, neighbours on the line, and the running number per (topic, article)."""
     rows, _ = sl.refine(plain, ["mqtt_topic"], "start_us", "bslice", target=target)
     order = ["start_us", "key_slice", "key_run"]
