@@ -142,6 +142,10 @@ ORACLE["retry_split"] = f"""WITH {RAW} SELECT event_id, topic, CAST(i % 4 + 1 AS
  CASE WHEN i % 4 + 1 >= 3 THEN 'max_retries_exceeded' END AS reason FROM raw"""
 ORACLE["throughput_topic"] = f"""WITH {RAW} SELECT topic, date_trunc('minute', received_at) AS minute, count(*) AS messages
  FROM raw GROUP BY 1, 2"""
+ORACLE["backlog_topic"] = f"""WITH {RAW}, m AS (SELECT topic, received_at AS t, 1 AS i, 0 AS o FROM raw UNION ALL
+  SELECT topic, received_at + to_seconds(event_id % 300), 0, 1 FROM raw WHERE event_id % 50 <> 0),
+ g AS (SELECT topic, date_trunc('minute', t) AS minute, CAST(sum(i) AS BIGINT) AS arrived, CAST(sum(o) AS BIGINT) AS processed FROM m GROUP BY 1, 2)
+ SELECT topic, minute, arrived, processed, CAST(sum(arrived - processed) OVER (PARTITION BY topic ORDER BY minute) AS BIGINT) AS waiting FROM g"""
 ORACLE["alias_coalesce"] = f"""WITH {REC} SELECT mqtt_topic, linea, article_number, identity, net_weight, record_uuid, reject_flag,
  time_text FROM can"""
 ORACLE["clean_weighings"] = f"""WITH {REC} SELECT mqtt_topic, linea, i AS identity, base + to_microseconds(i % 10000000) AS timestamp,
@@ -178,6 +182,9 @@ _TARGET = """CASE WHEN article_number = 'A-100' THEN 55.5 WHEN article_number =
   WHEN article_name = 'view' THEN 120.0 WHEN article_name = 'click' THEN 80.25 ELSE 15.0 END"""
 ORACLE["enrich_targets"] = f"""WITH {W} SELECT identity, article_number, article_name,
  CAST({_TARGET} AS DOUBLE) AS target_value FROM w"""
+ORACLE["target_for"] = f"""WITH {W}, k AS (SELECT article_number AS key FROM w UNION SELECT article_name FROM w)
+ SELECT key, CASE key WHEN 'A-100' THEN '55.5' WHEN 'A-101' THEN 'Not a Number' WHEN 'view' THEN '120.0' WHEN 'click' THEN '80.25' ELSE '15.0' END AS target FROM k"""
+ORACLE["flat_columns"] = f"""WITH {W} SELECT identity, net_weight, article_name, article_number, 'unused' AS "ItemCode", linea FROM w"""
 ORACLE["map_articles"] = f"""WITH {M} SELECT identity, article_number, article AS number_refactor FROM m"""
 ORACLE["giveaway"] = f"""WITH {W} SELECT identity, CAST({_TARGET} AS DOUBLE) AS target_weight_g,
  round(net_weight * 1000.0 - CAST({_TARGET} AS DOUBLE), 4) AS giveaway_g, 0 AS quality_mismatch FROM w"""
@@ -350,7 +357,8 @@ ORACLE["kpi_shift"] = f"""WITH {M}, g AS (SELECT mqtt_topic, linea, CAST(CAST({_
 ORACLE["ops_metrics"] = """WITH r AS (SELECT event_type AS status, value / 10 AS s FROM events)
  SELECT status, count(CASE WHEN s <= 0.1 THEN 1 END) AS le_0_1, count(CASE WHEN s <= 0.5 THEN 1 END) AS le_0_5,
   count(CASE WHEN s <= 1 THEN 1 END) AS le_1, count(CASE WHEN s <= 2.5 THEN 1 END) AS le_2_5, count(CASE WHEN s <= 5 THEN 1 END) AS le_5,
-  count(CASE WHEN s <= 10 THEN 1 END) AS le_10, count(*) AS runs, round(sum(s), 4) AS seconds_total FROM r GROUP BY 1"""
+  count(CASE WHEN s <= 10 THEN 1 END) AS le_10, count(*) AS runs, round(sum(s), 4) AS seconds_total,
+  quantile_disc(s, 0.95) AS p95_seconds FROM r GROUP BY 1"""
 ORACLE["ops_errors"] = f"""WITH {REC}, e AS (
   SELECT CASE WHEN i % 20 = 3 THEN 'json_decode_error' ELSE 'not_an_object' END AS error_type, 'parser' AS component FROM raw
    WHERE (topic = 'factory' OR topic LIKE 'factory/%') AND i % 20 IN (3, 8)

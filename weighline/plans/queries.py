@@ -92,6 +92,15 @@ def throughput_topic(spark, sf_dir):
     return audit.throughput(tm.raw_messages(spark, sf_dir)).select("topic", "minute", "messages")
 
 
+@query
+def backlog_topic(spark, sf_dir):
+    """Every message is taken to be processed up to five minutes after it arrived, by its number; every 50th is not yet."""
+    r = tm.raw_messages(spark, sf_dir).select("topic", "event_id", "received_at")
+    done = F.timestamp_micros(F.unix_micros("received_at") + F.col("event_id") % 300 * 1_000_000)
+    return audit.backlog(r.select("topic", F.col("received_at").alias("at")),
+                         r.where("event_id % 50 <> 0").select("topic", done.alias("at")))
+
+
 # --- cleaning ---------------------------------------------------------------------------------------------------
 
 @query
@@ -208,6 +217,23 @@ def enrich_targets(spark, sf_dir):
     return w.select("identity", "article_number", "article_name", "target_value")
 
 
+@query
+def target_for(spark, sf_dir):
+    """Target text of every article code and name that occurs."""
+    w = tm.weighings(spark, sf_dir)
+    keys = w.select(F.col("article_number").alias("key")).unionByName(w.select(F.col("article_name").alias("key"))).distinct()
+    return en.target_for(keys, lk.dim_targets(spark, tm.TARGETS), "key").select("key", "target")
+
+
+@query
+def flat_columns(spark, sf_dir):
+    """Whole columns named as devices name them, some with ``values.`` in front, renamed to the canonical names."""
+    w = tm.weighings(spark, sf_dir)
+    sent = w.select(F.col("identity").alias("values.identity"), F.col("net_weight").alias("values.ActualNetWeightValue"), F.col("article_name").alias("Producto"),
+                    F.col("article_number").alias("values.article_number"), F.lit("unused").alias("ItemCode"), "linea")
+    return cl.rename_flat_columns(sent).select("identity", "net_weight", "article_name", "article_number", "ItemCode", "linea")
+
+
 @query
 def map_articles(spark, sf_dir):
     w = en.map_articles(tm.weighings(spark, sf_dir), articles(spark))
@@ -537,7 +563,7 @@ def kpi_shift(spark, sf_dir):
 def ops_metrics(spark, sf_dir):
     """Duration histogram over runs derived from events (``value`` read as tenths of a second)."""
     runs = tm.events(spark, sf_dir).select(F.col("event_type").alias("status"), (F.col("value") / 10).alias("seconds"))
-    return audit.duration_histogram(runs, ["status"]).drop("p95_seconds")
+    return audit.duration_histogram(runs, ["status"])
 
 
 @query
