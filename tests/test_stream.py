@@ -87,13 +87,51 @@ def test_stops_equal_except_open_ones(spark, streamed, at_once):
 
 
 def test_rows_and_hot_table(spark, streamed, at_once):
-    from weighline.sinks import tables as tb
-    hot = tb.read_hot(spark, streamed + "/hot")
+    hot = sm.read_hot(spark, streamed)
     assert hot.count() == at_once.weighings.count() == 1000
     same(hot, at_once.weighings, ["identity", "batch_instance_id", "batch_sequence"])
     assert spark.read.option("header", True).csv(streamed + "/archive").count() == 1000
 
 
+def test_hot_table_by_day(spark, streamed, at_once):
+    """A day is read from one folder, whichever epochs wrote it; an epoch that is not committed is not seen."""
+    from weighline.sinks import tables as tb
+    day = at_once.weighings.select(F.to_date("timestamp").alias("d"), "identity").where("identity = 305").first().d
+    one = sm.read_hot(spark, streamed, day)
+    same(one, at_once.weighings.where(F.to_date("timestamp") == F.lit(day)), ["identity", "batch_instance_id"])
+    assert len({f.rsplit("/", 1)[0] for f in one.inputFiles()}) == 1
+    before = sm.read_hot(spark, streamed).count()
+    tb.write_hot(one.limit(1).withColumn("timestamp", F.expr("timestamp + interval 1 microsecond")), streamed + "/hot", 4)
+    assert sm.read_hot(spark, streamed).count() == before
+
+
+def test_failed_messages_come_again(spark, tmp_path):
+    """A record without a target fails: its whole message comes first in the next epochs and ends as a dead letter, or is
+    processed once when the lookup is mended; a replay changes nothing."""
+    root, day = str(tmp_path / "r"), "2024-01-02T10:%02d:00Z"
+    text = lambda *rs: "[" + ",".join('{"identity": %d, "timestamp": "%s", "net_weight": 100, "article_number": "%s", "linea": "L"}' % (i, day % i, a) for i, a in rs) + "]"
+    raw = lambda *payloads: spark.createDataFrame([("factory/a", p, None, 0) for p in payloads], rw.RAW_SCHEMA)
+    known = {"A": "Apple"}
+    now = lambda s: pl.Lookups.read(s, tm.WORKERS, tm.TARGETS, {"default": "unmapped", "mappings": known}, tm.CONTACTS)
+    run = sm.handler(root, now, failing=F.col("article_number").isin("B", "C") & ~F.col("number_refactor").isin("Berry"))
+    done = lambda: sorted(r.identity for r in sm.read_hot(spark, root).collect())
+    queue = lambda e: sorted((r.payload[:15], r.attempts) for r in sm.waiting(spark, root, e).collect())
+    run(raw(text((1, "A")), text((2, "A"), (3, "B")), text((4, "C")), "{bad"), 0)
+    assert done() == [1] and [a for _, a in queue(0)] == [1, 1]
+    for _ in range(2):
+        run(raw(text((5, "A"))), 1)
+        assert done() == [1, 5] and [a for _, a in queue(1)] == [2, 2]
+    known["B"] = "Berry"
+    for _ in range(2):
+        run(raw(text((6, "A"))), 2)
+        assert done() == [1, 2, 3, 5, 6] and queue(2) == []
+    dead = spark.read.json(root + "/dead_letters").collect()
+    assert sorted((r.reason, r.epoch) for r in dead) == [("json_decode_error", 0), ("max_retries_exceeded", 2)]
+    assert [r.data for r in dead if r.epoch == 2] == [text((4, "C"))]
+    run(raw(text((7, "A"))), 3)
+    assert done() == [1, 2, 3, 5, 6, 7] and queue(3) == []
+
+
 def test_replayed_epoch_changes_nothing(spark, streamed, feed):
     before = sorted(map(str, sm.current_batches(spark, streamed).collect()))
     marks = sorted(map(str, sm.read_state(spark, streamed, 3).watermark.collect()))
@@ -157,6 +195,21 @@ def test_rejected_keep_their_text(spark):
     assert r.weighings.count() == 0
 
 
+def test_replay_uses_the_lookups_of_its_epoch(spark, tmp_path):
+    """An edit of a lookup between an epoch's first run and its replay does not change the epoch."""
+    root, known = str(tmp_path / "r"), {"A": "Apple"}
+    now = lambda s: pl.Lookups.read(s, tm.WORKERS, tm.TARGETS, {"default": "unmapped", "mappings": known}, tm.CONTACTS)
+    raw = lambda i: spark.createDataFrame([("factory/a", '{"identity": %d, "timestamp": "2024-01-02T10:%02d:00Z", "net_weight": 1, "article_number": "A", "linea": "L"}' % (i, i), None, 0)], rw.RAW_SCHEMA)
+    run = sm.handler(root, now)
+    names = lambda: sorted((r.identity, r.number_refactor) for r in sm.read_hot(spark, root).collect())
+    run(raw(1), 0)
+    known["A"] = "Apricot"
+    run(raw(1), 0)
+    assert names() == [(1, "Apple")]
+    run(raw(2), 1)
+    assert names() == [(1, "Apple"), (2, "Apricot")]
+
+
 def test_lookups_survive_bad_files(spark, tmp_path):
     import json
     paths = {n: tmp_path / f"{n}.json" for n in ("workers", "targets", "articles", "contacts")}

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weighline import settings as S
 from weighline.operators import (alerts as al, batches as ba, clean as cl, dedup as dd, enrich as en, kpis as kp,
@@ -61,6 +61,7 @@ class State:
 @dataclass(frozen=True)
 class Result:
     dead_letters: DataFrame
+    retry: DataFrame
     rejected: DataFrame
     late: DataFrame
     weighings: DataFrame
@@ -81,7 +82,7 @@ def enrich(df: DataFrame, lookups: Lookups, zone: str = S.FACTORY_ZONE) -> DataF
 
 def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_pattern: str = S.TOPIC_FILTER,
             zone: str = S.FACTORY_ZONE, cap: int = S.HISTORY_CAP, max_lag: int = S.LAG_THRESHOLD_SECONDS,
-            target: int = S.SLICE_TARGET_ROWS, more_follows: bool = False) -> Result:
+            target: int = S.SLICE_TARGET_ROWS, more_follows: bool = False, failing: Column | None = None) -> Result:
     """Parse, clean, drop known records, enrich, cut into batches, find returns and stops.
 
     ``more_follows``: the input is one part of a longer feed, so the silence after a line's newest record is still open
@@ -91,12 +92,26 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
     # also feeds segmentation, the joins back and both outputs.
     kept = ("net_weight_text", "timestamp_text", "topic", "data", "dead_reason")
     parsed = rw.parse_all(rw.subscribe(raw, topic_pattern)).withColumns(
-        {"net_weight_text": F.col("net_weight"), "timestamp_text": F.col("timestamp")})
+        {"net_weight_text": F.col("net_weight"), "timestamp_text": F.col("timestamp"),
+         "attempts": F.coalesce("attempts", F.lit(0))})
+    if failing is not None:
+        parsed = parsed.withColumn("message", F.xxhash64("topic", "data", "received_at", "attempts"))
+        kept += ("message", "attempts")
     typed = cl.typed(parsed, zone=zone, keep=kept)
     typed = dd.mark_new(typed, state.watermark) if state is not None else typed.withColumn("is_new", F.lit(True))
     alive = F.col("dead_reason").isNull()
-    typed = typed.withColumn("data", F.when(~alive | ~cl.is_valid(), F.col("data")))  # the text of what was not read
-    everything = materialize(enrich(typed, lookups, zone), "records")
+    letters, retry = None, raw.where("false").select(*rw.RAW_SCHEMA.names)
+    enriched = enrich(typed, lookups, zone)
+    if failing is None:
+        # the text of what was not read
+        everything = materialize(enriched.withColumn("data", F.when(~alive | ~cl.is_valid(), F.col("data"))), "records")
+    else:
+        enriched = enriched.withColumn("is_new", F.col("is_new") | (F.col("attempts") > 0))
+        fails = alive & cl.is_valid() & F.col("is_new") & F.coalesce(failing, F.lit(False))
+        enriched = enriched.withColumn("fails", F.coalesce(fails, F.lit(False)))
+        everything = materialize(enriched.withColumn("data", F.when(~alive | ~cl.is_valid() | F.col("fails"), F.col("data"))), "records")
+        held, everything, letters = hold_back(everything)
+        retry = held
     rejected = everything.where(alive & ~cl.is_valid()).withColumn("reason", cl.rejection())
     rows = everything.where(alive & cl.is_valid() & F.col("is_new")).drop("topic", "data", "dead_reason", "is_new")
 
@@ -118,12 +133,26 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
     is_return = F.col("alert_type") == S.RETURN_TYPE
     with_ids = ba.with_batches(on_time, seg)
     return Result(
-        dead_letters=rw.letters_of(everything), rejected=rejected.drop("topic", "dead_reason", "is_new"),
+        dead_letters=rw.letters_of(everything) if letters is None else rw.letters_of(everything).unionByName(letters), retry=retry, rejected=rejected.drop("topic", "dead_reason", "is_new"),
         late=late, weighings=with_ids, batches=batches.select(*ba.PUBLIC, *seg.measures), returns=both.where(is_return),
         stops=both.where(~is_return), routed=al.route_alerts(both, lookups.contacts),
         state=next_state(batches, seg.measures, found, rows, state, cap))
 
 
+def hold_back(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Messages to give in again, the rows of all other messages, and dead letters of messages that failed too often.
+
+    Messages with a failing record are few; the joins on their key are left to the optimizer's sizes.
+    """
+    failed = materialize(rows.where("fails").groupBy("message").agg(
+        F.first("topic").alias("topic"), F.max("data").alias("payload"), F.first("received_at").alias("received_at"), F.max("attempts").alias("attempts")), "failed")
+    split = rw.retry_split(failed)
+    letters = (split.where("action = 'dead_letter'")
+               .select(F.col("received_at").alias("timestamp"), "topic", "reason", F.col("payload").alias("data")))
+    others = rows.join(failed.select("message"), "message", "left_anti").drop("message", "attempts", "fails")
+    return split.where("action = 'retry'").select(*rw.RAW_SCHEMA.names), others, letters
+
+
 def next_state(batches: DataFrame, measures: dict[str, str], found: rt.Returns, rows: DataFrame,
                state: State | None, cap: int) -> State:
     newest = (batches.where("closed_us is null")
@@ -161,7 +190,7 @@ def write_result(result: Result, root: str, zone: str = S.FACTORY_ZONE, epoch: i
         tb.write_hot(ou.hot_rows(cold), f"{root}/hot", epoch)
 
     side = {"rejected": result.rejected, "batches": result.batches, "late": result.late, "returns": result.returns,
-            "stops": result.stops, "routed_alerts": result.routed}
+            "stops": result.stops, "routed_alerts": result.routed, "retry": result.retry}
     together(both_stores, lambda: tb.write_dead_letters(result.dead_letters, f"{root}/dead_letters", epoch),
              *[lambda n=n, d=d: tb.write_table(d, f"{root}/{n}", epoch) for n, d in side.items()])
 

@@ -22,11 +22,24 @@ _LIST = "utc_date date, version long"
 
 
 class DayTable:
-    """See the module.  Rows carry ``utc_date``; ``schema`` is that of the table without it."""
+    """See the module.  Rows carry ``utc_date``; ``schema`` is that of the table without it (read from the files if None)."""
 
-    def __init__(self, spark: SparkSession, path: str, schema):
+    def __init__(self, spark: SparkSession, path: str, schema=None):
         self.spark, self.path, self.schema = spark, path, schema
 
+    def epochs(self) -> list[int]:
+        """The epochs whose lists are kept, oldest first."""
+        try:
+            return sorted(r["epoch"] for r in self.spark.read.schema(_LIST + ", epoch long").parquet(f"{self.path}/_days").select("epoch").distinct().collect())
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
+    def newest(self, below: int | None = None) -> int:
+        """The newest epoch (before ``below``); -1 if there is none."""
+        return max((e for e in self.epochs() if below is None or e < below), default=-1)
+
     def versions(self, epoch: int) -> dict:
         """Newest version of every day after ``epoch``; one entry per day."""
         if epoch < 0:
@@ -46,10 +59,14 @@ class DayTable:
         return self._open({d: v for d, v in self.versions(epoch).items() if wanted(d)})
 
     def _open(self, versions: dict) -> DataFrame:
+        paths = [self.folder(d, v) for d, v in sorted(versions.items())]
+        if self.schema is None:
+            if not paths:
+                raise ValueError(f"{self.path} holds no rows of these days")
+            return self.spark.read.option("basePath", self.path).parquet(*paths).drop("epoch")
         shape = self.spark.createDataFrame([], self.schema).withColumn("utc_date", F.lit(None).cast("date"))
-        if not versions:
+        if not paths:
             return shape
-        paths = [self.folder(d, v) for d, v in sorted(versions.items())]
         return self.spark.read.schema(shape.schema).option("basePath", self.path).parquet(*paths).select(shape.columns)
 
     def merge(self, epoch: int, changes: DataFrame, put: Callable[[DataFrame, DataFrame], DataFrame]) -> list:
@@ -59,7 +76,7 @@ class DayTable:
         """
         changes = materialize(changes, "day-changes")
         days = [r["utc_date"] for r in changes.select("utc_date").distinct().collect()]
-        known = self.versions(epoch - 1)
+        known = self.versions(self.newest(epoch))
         if days:
             self._save(epoch, put(self._open({d: known[d] for d in days if d in known}), changes))
         self._list(epoch, known, days)
@@ -69,7 +86,7 @@ class DayTable:
         """Make version ``epoch`` of these days: ``rows`` are all they hold.  A day without rows is no longer listed."""
         if days:
             self._save(epoch, rows.where(F.col("utc_date").isin(days)))
-        self._list(epoch, self.versions(epoch - 1), days)
+        self._list(epoch, self.versions(self.newest(epoch)), days)
 
     def _save(self, epoch: int, rows: DataFrame) -> None:
         (rows.withColumn("epoch", F.lit(epoch).cast("long")).hint("rebalance", "utc_date").write.mode("overwrite")
@@ -78,7 +95,7 @@ class DayTable:
     def _list(self, epoch: int, known: dict, days: list) -> None:
         now = {d: v for d, v in known.items() if d not in days} | {d: epoch for d in days if self._has(self.folder(d, epoch))}
         (self.spark.createDataFrame(sorted(now.items()), _LIST).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_days/epoch={epoch}"))
-        self._forget(epoch - KEPT_EPOCHS, now)
+        self._forget()
 
     def _has(self, path: str) -> bool:
         try:
@@ -89,15 +106,15 @@ class DayTable:
             return False
         return True
 
-    def _forget(self, epoch: int, now: dict) -> None:
-        """Delete what only ``epoch`` and earlier ones need: its list, and its versions replaced in the epoch after it."""
-        if epoch < 0:
-            return
-        old, after = self.versions(epoch), self.versions(epoch + 1)
-        for day, version in old.items():
-            if after and after.get(day) != version and now.get(day) != version:
-                remove(self.folder(day, version))
-        remove(f"{self.path}/_days/epoch={epoch}")
+    def _forget(self) -> None:
+        """Delete the lists beyond the kept ones, and the versions that the next list after them replaced."""
+        epochs = self.epochs()
+        for epoch, after in list(zip(epochs, epochs[1:]))[:-KEPT_EPOCHS]:
+            following = self.versions(after)
+            for day, version in self.versions(epoch).items():
+                if following.get(day) != version:
+                    remove(self.folder(day, version))
+            remove(f"{self.path}/_days/epoch={epoch}")
 
 
 def replace_by(key: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:

@@ -6,10 +6,11 @@ attempt of the same epoch left there, so replaying a micro-batch changes nothing
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weighline import settings as S
 from weighline.operators import outputs as ou, reports as rp
+from weighline.sinks.days import DayTable, replace_by
 
 ARCHIVE_KEYS = ["p_topic", "p_line", "p_year", "p_month", "p_day", "p_article", "p_batch"]
 
@@ -39,18 +40,23 @@ def write_archive(df: DataFrame, path: str, fmt: str = "csv", zone: str = S.FACT
 
 
 def write_hot(hot: DataFrame, path: str, epoch: int | None = None) -> None:
-    """Hot rows by UTC date; keys written in several epochs are resolved by :func:`read_hot`."""
-    dated = ou.last_write_wins(hot).withColumn("utc_date", F.to_date("timestamp"))
-    _write(dated.hint("rebalance", "utc_date"), path, "parquet", ["utc_date"], epoch)
-
-
-def read_hot(spark: SparkSession, path: str) -> DataFrame:
-    """The hot table with one row per (tags, timestamp): the latest epoch's."""
-    rows = spark.read.option("mergeSchema", False).parquet(path)
-    if "epoch" not in rows.columns:
-        return ou.last_write_wins(rows.drop("utc_date"))
-    w = Window.partitionBy(*ou.hot_tags(rows.columns), "timestamp").orderBy(F.desc("epoch"), F.desc("identity"))
-    return (rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank", "epoch", "utc_date"))
+    """Put hot rows into the table by UTC day: a key written again takes the new row (see :mod:`weighline.sinks.days`).
+
+    Only the days of these rows are rewritten, and a day holds one row per (tags, timestamp).  Without ``epoch`` the rows
+    become the next one.
+    """
+    rows = ou.last_write_wins(hot).withColumn("utc_date", F.to_date("timestamp"))
+    table = DayTable(hot.sparkSession, path, hot.schema)
+    table.merge(table.newest() + 1 if epoch is None else epoch, rows, replace_by([*ou.hot_tags(hot.columns), "timestamp"]))
+
+
+def read_hot(spark: SparkSession, path: str, day=None, epoch: int | None = None) -> DataFrame:
+    """The hot table with one row per (tags, timestamp), or one UTC day of it: that day's folder alone is opened.
+
+    ``epoch``: as it was after that epoch (:func:`weighline.streaming.stream.read_hot` gives the newest committed one).
+    """
+    table = DayTable(spark, path)
+    return table.read(table.newest() if epoch is None else epoch, lambda d: day is None or d == day).drop("utc_date")
 
 
 def write_dead_letters(letters: DataFrame, path: str, epoch: int | None = None) -> None:

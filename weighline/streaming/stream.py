@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from dataclasses import fields
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +22,7 @@ from weighline.operators import batches as ba, stops as st
 from weighline.plans.pipeline import Lookups, State, process, together, write_reports, write_result
 from weighline.session import intermediates, remove
 from weighline.sinks import tables as tb
+from weighline.sources import raw as rw
 
 #: Epochs whose state is kept, for replays and restarts.
 KEPT_EPOCHS = 10
@@ -53,14 +55,16 @@ def last_epoch(spark: SparkSession, root: str) -> int | None:
 
 def handler(root: str, lookups: Callable[[SparkSession], Lookups], archive_format: str = "csv",
             **options) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function.  ``lookups`` is called per micro-batch, so edited files take effect."""
+    """The ``foreachBatch`` function.  ``lookups`` is called once per epoch, so edited files take effect with the next one."""
 
     def run(raw: DataFrame, epoch: int) -> None:
         spark = raw.sparkSession
         started = time.monotonic()
         with intermediates(spark):
             state = read_state(spark, root, epoch - 1)
-            result = process(raw, lookups(spark), state, more_follows=True, **options)
+            if options.get("failing") is not None:  # what failed in the epoch before comes first
+                raw = waiting(spark, root, epoch - 1).unionByName(raw.select(*rw.RAW_SCHEMA.names))
+            result = process(raw, pinned(spark, root, epoch, lookups), state, more_follows=True, **options)
             write_result(result, root, epoch=epoch, archive_format=archive_format)
             write_reports(result, root, epoch, time.monotonic() - started)
             write_state(result.state, root, epoch)
@@ -68,6 +72,35 @@ def handler(root: str, lookups: Callable[[SparkSession], Lookups], archive_forma
     return run
 
 
+def pinned(spark: SparkSession, root: str, epoch: int, lookups: Callable[[SparkSession], Lookups]) -> Lookups:
+    """The lookups of an epoch: those its first run read, which a replay finds stored.
+
+    The mark that the copy is whole is written last; copies of epochs that can no longer run again are deleted.
+    """
+    names, folder = [f.name for f in fields(Lookups)], f"{root}/lookups_used/epoch={epoch}"
+    try:
+        spark.read.schema("id long").parquet(f"{folder}/whole")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        read = lookups(spark)
+        together(*[lambda n=n: getattr(read, n).coalesce(1).write.mode("overwrite").parquet(f"{folder}/{n}") for n in names])
+        spark.range(1).coalesce(1).write.mode("overwrite").parquet(f"{folder}/whole")
+        remove(f"{root}/lookups_used/epoch={epoch - KEPT_EPOCHS}")
+    return Lookups(*[spark.read.parquet(f"{folder}/{n}") for n in names])
+
+
+def waiting(spark: SparkSession, root: str, epoch: int) -> DataFrame:
+    """Messages that failed in ``epoch``, to be given in again by the next one and by a replay of it alike."""
+    empty = spark.createDataFrame([], rw.RAW_SCHEMA)
+    try:
+        return empty if epoch < 0 else spark.read.schema(rw.RAW_SCHEMA).parquet(f"{root}/retry/epoch={epoch}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty
+
+
 def run_stream(raw_stream: DataFrame, root: str, checkpoint: str, lookups: Callable[[SparkSession], Lookups],
                available_now: bool = False, seconds: int = S.MICRO_BATCH_SECONDS, **options) -> StreamingQuery:
     """Start the stream.  Input per micro-batch is bounded by the source's own limit; nothing is dropped."""
@@ -77,14 +110,25 @@ def run_stream(raw_stream: DataFrame, root: str, checkpoint: str, lookups: Calla
     return writer.trigger(**trigger).start()
 
 
+def committed(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A table's rows of committed epochs, with ``epoch``: an epoch that is being written, or died, is not seen."""
+    last = last_epoch(spark, root)
+    return spark.read.parquet(f"{root}/{table}").where(F.col("epoch") <= (-1 if last is None else last))
+
+
 def current_batches(spark: SparkSession, root: str) -> DataFrame:
-    """Newest version of every batch the stream has written."""
-    rows = spark.read.parquet(f"{root}/batches")
+    """Newest version of every batch that committed epochs have written."""
+    rows = committed(spark, root, "batches")
     key = ["mqtt_topic", "article", "batch_sequence"]
     rest = [c for c in rows.columns if c not in (*key, "epoch")]
     return (rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "epoch").alias("b")).select(*key, "b.*"))
 
 
+def read_hot(spark: SparkSession, root: str, day=None) -> DataFrame:
+    """The hot table, or one UTC day of it, after the newest committed epoch."""
+    return tb.read_hot(spark, f"{root}/hot", day, last_epoch(spark, root))
+
+
 # --- live stop check --------------------------------------------------------------------------------------------
 
 def silent_lines(open_batches: DataFrame, now, zone: str = S.FACTORY_ZONE,
