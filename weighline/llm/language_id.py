@@ -10,7 +10,8 @@ Trees are merged into shared arrays (a node per context seen in any language, a
 whatever the corpus, sent to every task.  Texts are scored whole where they are read: no shuffle.
 
 Defined results.  ``und`` with score 0 for a null text, a text without a letter, and where no language could be
-learned.  Ties go to the first language in alphabetical order.  A null doc_id or a null lang is not learned from; a
+learned.  Ties go to the first language in alphabetical order.  Of more than ``MAX_LANGUAGES`` label values, those with the
+most documents (then in alphabetical order) are learned.  A null doc_id or a null lang is not learned from; a
 null doc_id is not held out.  Repeated rows give repeated results; an empty table gives no rows.  Only the named
 columns are read.
 """
@@ -27,9 +28,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weighline.llm import common as C
 
 UNKNOWN = "und"
-#: Documents learned from per language (those of the smallest hash), and the longest text taken for it, in characters.
-SAMPLE_DOCUMENTS, SAMPLE_CHARS = 250, 20_000
-#: Most languages told apart; a table with more label values is refused.
+#: Documents learned from per language (those of the smallest hash); characters learned from a document, at a place chosen
+#: by its id where it is longer; and characters in all, which many languages share.
+SAMPLE_DOCUMENTS, SAMPLE_CHARS, SAMPLE_TOTAL = 250, 20_000, 40_000_000
+#: Languages told apart: those with the most labelled documents.
 MAX_LANGUAGES = 200
 LETTER = re.compile(r"[^\W\d_]")
 #: Bytes scored at a time, so that a very long text needs little memory.
@@ -161,13 +163,11 @@ def learn(texts: dict[str, list[bytes]]) -> Model:
 
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, list[bytes]]:
-    """Texts to learn from: per language about ``SAMPLE_DOCUMENTS`` labelled documents with the smallest hash."""
-    labelled = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"), F.length(text_col).alias("n")
-                           ).where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull()
-                                   & F.col(text_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS))
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    """Texts to learn from: per language about ``SAMPLE_DOCUMENTS`` labelled documents with the smallest hash, of any length."""
+    h = F.xxhash64(F.col(id_col))
+    labelled = docs.select(F.col(text_col).alias("t"), F.col(lang_col).alias("lang"), h.alias("h")
+                           ).where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     if not counts:
         return {}
     # a hash below share * 2^64 keeps about SAMPLE_DOCUMENTS of a language
@@ -175,9 +175,12 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[s
     for r in counts:
         share = min(1.0, SAMPLE_DOCUMENTS / r["n"])
         near |= (F.col("lang") == r["lang"]) & (F.col("h") <= min((1 << 63) - 1, int(-(1 << 63) + share * (1 << 64))))
+    chars = min(SAMPLE_CHARS, SAMPLE_TOTAL // (SAMPLE_DOCUMENTS * len(counts)))
+    start = F.pmod(F.xxhash64("h"), F.greatest(F.length("t") - chars, F.lit(0)) + 1) + 1
+    part = F.substring(F.col("t"), start.cast("int"), F.lit(chars))
     out: dict[str, list[bytes]] = {}
     most = 2 * SAMPLE_DOCUMENTS * len(counts)  # the bound itself, should one doc_id be repeated without end
-    for r in labelled.where(near).orderBy("h", "t").limit(most).select("lang", "t").collect():
+    for r in labelled.where(near).select("lang", "h", part.alias("t")).orderBy("h", "t").limit(most).collect():
         out.setdefault(r["lang"], []).append(r["t"].encode())
     return out
 

@@ -14,7 +14,6 @@ empty string.  Repeated rows give repeated results.  An empty table gives no row
 from __future__ import annotations
 
 import base64
-import binascii
 import json
 import re
 
@@ -43,6 +42,11 @@ ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)KEY-----(?=\s|\\)((?:[A-Za-z0-9+/=\
 PIECE = re.compile(r"[A-Za-z0-9]{40,}")
 BEGINS = re.compile(r"(?<![A-Za-z0-9])(?=M[A-P][A-Za-z0-9+/_-]{6}|b3BlbnNzaC1rZXktdjEA)")
 
+NOT_HEX = re.compile(r"[^0-9A-Fa-f]")
+SSH_MAGIC = b"openssh-key-v1\x00"
+#: No key format has as many elements on one level, or keys in one file.
+MOST_PARTS = 64
+
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
                   ("base_sha256", pa.string()), ("spans", pa.string()), ("n_confirmed", pa.int64())])
 OUT_SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_confirmed long"
@@ -61,7 +65,7 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
+def _element(data, at: int, end: int) -> tuple[int, int, int] | None:
     """(tag, start, end) of the contents of the ASN.1 element at ``at``, if it lies within ``end``."""
     if at + 2 > end:
         return None
@@ -74,19 +78,19 @@ def _element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def _elements(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
-    """The elements that fill ``at``..``end`` exactly; None if they do not."""
+def _elements(data, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The elements that fill ``at``..``end`` exactly; None if they do not, or are more than any key has."""
     out = []
     while at < end:
         e = _element(data, at, end)
-        if e is None:
+        if e is None or len(out) == MOST_PARTS:
             return None
         out.append(e)
         at = e[2]
     return out
 
 
-def is_key(data: bytes) -> bool:
+def is_key(data) -> bool:
     """A sequence that fills the data and has the elements of a private or public key."""
     top = _element(data, 0, len(data))
     if top is None or top[0] != 0x30 or top[2] != len(data):
@@ -109,55 +113,84 @@ def is_key(data: bytes) -> bool:
     return False
 
 
-def is_ssh(data: bytes) -> bool:
-    """The magic, then cipher, derivation and options, a count, and as many fields, all with lengths before them."""
-    magic = b"openssh-key-v1\x00"
-    if not data.startswith(magic):
-        return False
-    at, left, counted = len(magic), 3, False
+def ssh_length(data) -> int | None:
+    """Bytes of the OpenSSH key at the start of the data: the magic, then cipher, derivation and options, a count, as many
+    public keys and the private part, all with lengths before them; None if they do not fit."""
+    if bytes(data[:len(SSH_MAGIC)]) != SSH_MAGIC:
+        return None
+    at, left, counted = len(SSH_MAGIC), 3, False
     while left:
         n = int.from_bytes(data[at:at + 4], "big")
         if at + 4 + n > len(data):
-            return False
+            return None
         at, left = at + 4 + n, left - 1
         if not left and not counted:
             left, at, counted = int.from_bytes(data[at:at + 4], "big") + 1, at + 4, True
-    return at == len(data)
-
-
-def decoded(candidate: str) -> list[bytes]:
-    """What the candidate may stand for: hex, and base64 in either alphabet."""
-    out, body = [], candidate.rstrip("=")
-    if len(body) % 2 == 0:
-        try:
-            out.append(bytes.fromhex(body))
-        except ValueError:
-            pass
-    if len(body) % 4 != 1:
-        try:
-            out.append(base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4), validate=True))
-        except (binascii.Error, ValueError):
-            pass
+            if left > MOST_PARTS:
+                return None
+    return at if at <= len(data) else None
+
+
+def is_ssh(data) -> bool:
+    return ssh_length(data) == len(data)
+
+
+class Base64:
+    """The bytes of ``text[start:end]``, base64 in either alphabet without its padding, decoded only where they are read.
+
+    A key is confirmed from its few headers, so a run of any length costs no more than its places where a key may begin.
+    """
+
+    def __init__(self, text: str, start: int, end: int):
+        self.text, self.start, self.end = text, start, end
+
+    def __len__(self) -> int:
+        return (self.end - self.start) * 3 // 4
+
+    def __getitem__(self, at):
+        lo, hi = (at.start or 0, min(at.stop, len(self))) if isinstance(at, slice) else (at, at + 1)
+        if hi <= lo:
+            return b""
+        first = lo // 3
+        quads = self.text[self.start + 4 * first:min(self.start + 4 * -(-hi // 3), self.end)]
+        data = base64.b64decode(quads.replace("-", "+").replace("_", "/") + "=" * (-len(quads) % 4))[lo - 3 * first:hi - 3 * first]
+        return data if isinstance(at, slice) else data[0]
+
+
+def decoded(text: str, start: int, end: int) -> list[bytes | Base64]:
+    """What ``text[start:end]``, without padding, may stand for: hex, and base64 in either alphabet."""
+    out, size = [], end - start
+    if size % 2 == 0 and NOT_HEX.search(text, start, end) is None:
+        out.append(bytes.fromhex(text[start:end]))
+    if size % 4 != 1:
+        out.append(Base64(text, start, end))
     return out
 
 
-def glued(candidate: str) -> list[tuple[int, int]]:
-    """Parts of the candidate, set off by signs that base64 has too, that may stand for a key: (start, end)."""
-    body = candidate.rstrip("=")
-    found = [m.span() for m in PIECE.finditer(body)]
-    for m in BEGINS.finditer(body):
+def glued(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Parts of the run, set off by signs that base64 has too, that may stand for a key: (start, end).
+
+    A key's own lengths tell where it ends; a sign or the end of the run must follow.
+    """
+    found = [m.span() for m in PIECE.finditer(text, start, end)]
+    for m in BEGINS.finditer(text, start, end):
         at = m.start()
-        if body[at] == "M":  # the sequence's own length tells where it ends
-            head = base64.b64decode(body[at:at + 8].replace("-", "+").replace("_", "/"))
-            size = head[1] & 0x7F if head[1] & 0x80 else 0
-            total = 2 + size + (int.from_bytes(head[2:2 + size], "big") if size else head[1])
-            end = at + -(-total * 4 // 3)
-            if size <= 4 and (end == len(body) or end < len(body) and body[end] in "+/_-"):
-                found.append((at, end))
+        data = Base64(text, at, end)
+        if text[at] == "M":
+            top = _element(data, 0, len(data))
+            size = top and top[2]
         else:
-            stops = [x.start() for x in (re.search(signs, body[at:]) for signs in ("[-_]", "[+/]")) if x]
-            found += [(at, len(body)), *((at, at + x) for x in stops)]
-    return [(s, len(candidate) if e == len(body) else e) for s, e in dict.fromkeys(found) if e - s < len(body)]
+            size = ssh_length(data)
+        if size:
+            stop = at + -(-size * 4 // 3)
+            if stop == end or text[stop] in "+/_-":
+                found.append((at, stop))
+    return [part for part in dict.fromkeys(found) if part != (start, end)]
+
+
+def key_kinds(text: str, start: int, end: int) -> list[int]:
+    """Kinds of key that ``text[start:end]`` stands for."""
+    return [3 if key else 4 for data in decoded(text, start, end) if (key := is_key(data)) or is_ssh(data)]
 
 
 def _json(part: str) -> dict | None:
@@ -179,16 +212,14 @@ def confirmed_spans(text: str) -> list[Span]:
     for m in TOKEN.finditer(text):
         if is_signed_token(m[0]):
             found.append((m.start(), 5, m.end()))
-    def keys(start: int, end: int, candidate: str) -> list[Span]:
-        kinds = [3 if is_key(data) else 4 for data in decoded(candidate) if is_key(data) or is_ssh(data)]
-        return [(start, kind, end) for kind in kinds]
-
     for m in CANDIDATE.finditer(text):
-        whole = keys(m.start(), m.end(), m[0])
-        found += whole or [k for s, e in glued(m[0]) for k in keys(m.start() + s, m.start() + e, m[0][s:e])]
+        end = m.start() + len(m[0].rstrip("="))
+        whole = [(m.start(), kind, m.end()) for kind in key_kinds(text, m.start(), end)]
+        found += whole or [(s, kind, m.end() if e == end else e) for s, e in glued(text, m.start(), end) for kind in key_kinds(text, s, e)]
     if "-----BEGIN " in text:
         for m in ARMOUR.finditer(text):
-            found += keys(m.start(), m.end(), LINE_ENDS.sub("", m[2]))
+            body = LINE_ENDS.sub("", m[2]).rstrip("=")
+            found += [] if "=" in body else [(m.start(), kind, m.end()) for kind in key_kinds(body, 0, len(body))]
     return found
 
 
