@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from weighline.operators import kpis as kp
 from weighline.plans import pipeline as pl
 from weighline.sources import raw as rw, telemetry as tm
 from weighline.streaming import stream as sm
@@ -185,6 +186,71 @@ def test_stream_reports(spark, streamed, at_once):
     assert done == 1000
 
 
+def test_archive_holds_what_was_sent(spark, streamed, feed, at_once):
+    """The record's own texts beside what was found out, one archive row per record."""
+    archive = spark.read.option("header", True).csv(streamed + "/archive")
+    sent = rw.parse(rw.load_raw(spark, feed)).select("identity", "net_weight", "timestamp", "reject_flag", "record_uuid", "creation_utc_text")
+    same(archive.withColumn("timestamp", F.col("timestamp_text")), sent, sent.columns)
+    found = at_once.weighings.select(F.col("identity").cast("string"), F.col("quality_status").alias("processed_status"), "batch_instance_id",
+                                     F.round("clean_net_weight_g", 2).cast("string").alias("grams"),
+                                     F.unix_micros("timestamp").alias("us"))
+    got = archive.withColumns({"grams": F.round(F.col("calculated_net_weight").cast("double"), 2).cast("string"),
+                               "us": F.unix_micros(F.col("timestamp").cast("timestamp"))})
+    same(got, found, found.columns)
+
+
+def test_figures_of_the_stream(spark, streamed, feed, at_once):
+    """Figures of committed epochs equal those of the batch, also after an epoch was run again; a day is read from its folder."""
+    def check():
+        for got, want in ((sm.kpi_window(spark, streamed), kp.kpi_window(at_once.weighings)),
+                          (sm.kpi_window(spark, streamed, "2 hours", "1 hour"), kp.kpi_window(at_once.weighings, "2 hours", "1 hour")),
+                          (sm.kpi_shift(spark, streamed), kp.kpi_shift(at_once.weighings))):
+            same(got, want, want.columns)
+    check()
+    same(sm.kpi_batch(spark, streamed).where("units > 1"), kp.kpi_batch(at_once.batches).where("units > 1"),
+         ["batch_instance_id", "units", "units_ok", "units_rejected", "mean_workers"])
+    sm.handler(streamed, lookups)(rw.load_raw(spark, feed + "/part-3.json"), 3)
+    check()
+    day = at_once.weighings.select(F.to_date("timestamp").alias("d")).where("d is not null").first().d
+    one = sm.tb.read_kpi_parts(spark, streamed + "/kpi_parts", 3, day)
+    assert one.count() > 0 and one.where(F.col("utc_date") != F.lit(day)).count() == 0
+    assert len({f.rsplit("/", 1)[0] for f in one.inputFiles()}) == 1
+
+
+def test_state_snapshot(spark, streamed, feed, tmp_path):
+    """A state written as JSON lines and read by a new stream, whose first epoch continues where the old one ended."""
+    import json
+    root, folder = str(tmp_path / "new"), str(tmp_path / "snapshot")
+    assert sm.export_state(spark, streamed, folder) == 3
+    line = spark.read.text(folder + "/open_batches/lines").first().value
+    assert json.loads(line)["start_time"][-6:] in ("+01:00", "+02:00")
+    sm.import_state(spark, folder, root)
+    old, new = sm.read_state(spark, streamed, 3), sm.read_state(spark, root, -1)
+    for name in sm.STATE_TABLES:
+        a, b = getattr(old, name), getattr(new, name)
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    sm.handler(root, lookups)(rw.load_raw(spark, feed + "/part-3.json"), 0)
+    assert sorted(map(str, sm.read_state(spark, root, 0).open_batches.collect())) == sorted(map(str, old.open_batches.collect()))
+    assert sm.read_hot(spark, root).count() == 0
+
+
+def test_snapshot_of_odd_rows(spark):
+    import datetime as dt
+    from weighline.sinks import snapshot as sn
+    utc = [dt.datetime(2024, 10, 27, h, 30, 0, us) for h in (0, 1, 2) for us in (0, 1)] + [dt.datetime(2024, 3, 31, h, 59, 59, 999999) for h in (0, 1)] + [None]
+    rows = [(i, t, 0.1 * i, None if i % 2 else "a\"\nñ", (t, None) if i % 3 else None, [t, None]) for i, t in enumerate(utc)]
+    df = spark.createDataFrame(rows, "n int, t timestamp, d double, s string, x struct<t: timestamp, u: string>, y array<timestamp>")
+    for zone in ("Europe/Madrid", "America/St_Johns"):
+        lines = sn.encode(df, zone)
+        assert sorted(map(str, sn.decode(lines, df.schema).collect())) == sorted(map(str, df.collect()))
+    texts = {r.t for r in sn.encode(df).select(F.get_json_object("line", "$.t").alias("t")).collect()}
+    assert {"2024-10-27T02:30:00.000000+02:00", "2024-10-27T02:30:00.000000+01:00"} <= texts
+    with pytest.raises(Exception):
+        sn.decode(spark.createDataFrame([("{broken",)], "line string"), df.schema).collect()
+    assert sn.decode(sn.encode(df.limit(0)), df.schema).count() == 0
+
+
 def test_rejected_keep_their_text(spark):
     payload = '{"identity": 1, "net_weight": "sensor_error", "timestamp": "2024-01-02T00:00:00Z", "linea": "L"}'
     raw = spark.createDataFrame([("factory/a", payload, None, 0), ("factory/a", "{bad", None, 0), ("factory/a", "[]", None, 0)], rw.RAW_SCHEMA)

@@ -77,13 +77,18 @@ def target_for(keys: DataFrame, targets: DataFrame, key: str = "product_key") ->
 
 
 def map_articles(df: DataFrame, articles: DataFrame, target_col: str = "number_refactor",
-                 unknown: str | None = None) -> DataFrame:
-    """Article name of the trimmed article code; unmapped codes get the configured default, or ``unknown``."""
+                 unknown: str | None = None, found_col: str | None = None) -> DataFrame:
+    """Article name of the trimmed article code; unmapped codes get the configured default, or ``unknown``.
+
+    ``found_col`` names a column that tells whether the code was mapped.
+    """
     codes, rows, default = _sized_lookup(articles, "article_code", "mapped_name", F.col("article_code").isNull())
     codes = codes.withColumnsRenamed({"article_code": "_c", "mapped_name": "_mapped"})
     fallback = unknown or default or S.UNKNOWN_ARTICLE
-    return (df.withColumn("_c", clean_text(F.col("article_number"))).join(sized(codes, rows), "_c", "left")
-            .withColumn(target_col, F.coalesce("_mapped", F.lit(fallback))).drop("_c", "_mapped"))
+    found = df.withColumn("_c", clean_text(F.col("article_number"))).join(sized(codes, rows), "_c", "left")
+    if found_col:
+        found = found.withColumn(found_col, F.col("_mapped").isNotNull())
+    return (found.withColumn(target_col, F.coalesce("_mapped", F.lit(fallback))).drop("_c", "_mapped"))
 
 
 def giveaway(df: DataFrame) -> DataFrame:
@@ -106,6 +111,13 @@ def workers_updates(updates: DataFrame, max_workers: int = S.MAX_WORKERS_PER_LIN
             .withColumn("new_worker_count", F.when(F.col("accepted"), whole.cast("int"))))
 
 
+def with_updates(workers: DataFrame, log: DataFrame) -> DataFrame:
+    """The headcount table after the changes of the log: a line's newest change takes the place of its entry."""
+    newest = workers_latest(log).select("line_id", F.col("workers").cast("string").alias("workers"))
+    both = (workers.select("line_id", "workers", F.lit(0).alias("_by")).unionByName(newest.withColumn("_by", F.lit(1))))
+    return both.groupBy("line_id").agg(F.max_by("workers", "_by").alias("workers"))
+
+
 def worker_log(accepted: DataFrame) -> DataFrame:
     """Rows of the change log: ``timestamp, line_id, new_worker_count, event``."""
     return accepted.select("timestamp", "line_id", "new_worker_count", F.lit("WORKER_UPDATE").alias("event"))

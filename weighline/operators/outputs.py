@@ -8,6 +8,9 @@ from weighline import settings as S
 from weighline.functions import numbers, text as tx, times
 from weighline.session import materialize
 
+#: Tasks that records without uuid are dealt over, where others are joined by it.
+KEYLESS_SHARES = 1024
+
 _FILL = {"mqtt_topic": "unknown", "batch_code": "no_batch", "linea": "unknown", "batch_instance_id": "unknown"}
 
 
@@ -97,14 +100,32 @@ def cold_rows(raw: DataFrame, processed: DataFrame, articles: DataFrame | None =
     have = {k: v for k, v in want.items() if k in processed.columns}
     one = _first_per_key(processed.where("record_uuid is not null"), "record_uuid",
                          [F.desc("identity"), F.desc("timestamp")])
-    right = one.select("record_uuid", *[F.col(k).alias(v) for k, v in have.items()])
+    right = one.select("record_uuid", F.lit(0).alias("_spread"), *[F.col(k).alias(v) for k, v in have.items()])
     left = raw.drop(*[v for v in have.values() if v in raw.columns])
-    out = left.join(right, "record_uuid", "left")
+    # records without uuid match nothing; they are dealt over the tasks instead of meeting under one null key
+    spread = F.when(F.col("record_uuid").isNull(), F.pmod(F.xxhash64("identity", "timestamp"), F.lit(KEYLESS_SHARES))).otherwise(0)
+    out = left.withColumn("_spread", spread.cast("int")).join(right, ["record_uuid", "_spread"], "left").drop("_spread")
     if "processed_time" in out.columns:
         out = out.withColumn("timestamp", F.coalesce("processed_time", "timestamp")).drop("processed_time")
     return out if articles is None else map_articles(out, articles, unknown=S.UNKNOWN_REF)
 
 
+def archive_rows(df: DataFrame) -> DataFrame:
+    """Archive rows of processed records that carry the record as it was sent (``raw``: :data:`weighline.sources.raw.SENT`).
+
+    The sent texts keep their canonical names; beside them stand what was found out: time, status, weight, tare, headcount,
+    batch and article name.  The record travels with its result, so no key is needed and no row can be multiplied.
+    """
+    sent = [f.name for f in df.schema["raw"].dataType.fields]
+    found = {"timestamp": F.col("timestamp"), "processed_status": F.col("quality_status"),
+             "calculated_net_weight": F.col("clean_net_weight_g"), "tare_g": F.col("tare_g"),
+             "active_workers": F.col("active_workers"),
+             "number_refactor": F.when(F.col("article_known"), F.col("number_refactor")).otherwise(S.UNKNOWN_REF),
+             **{n: F.col(n) for n in ("batch_instance_id", "batch_sequence", "batch_start_time")}}
+    named = {"timestamp": "timestamp_text", "tare_g": "tare_text", "active_workers": "workers_text"}
+    return df.select(*[F.col(f"raw.{n}").alias(named.get(n, n)) for n in sent], *[c.alias(n) for n, c in found.items()])
+
+
 def cold_semi(raw: DataFrame, kept: DataFrame) -> DataFrame:
     """Raw records whose key survived cleaning and dedup."""
     return (raw.withColumn("_key", record_key(raw))
@@ -142,10 +163,11 @@ def archive_manifest(df: DataFrame, zone: str = S.FACTORY_ZONE) -> DataFrame:
                            (F.col("batch_code") if "batch_code" in have else F.lit(None).cast("string")).alias("b"),
                            (F.col("article_name") if "article_name" in have else F.lit(None).cast("string"))
                            .alias("a"), F.col("mqtt_topic").alias("t")))
-    rejected = (F.bool_or(F.coalesce(F.col("quality_status") == "REJECTED", F.lit(False)))
-                if "quality_status" in have else F.lit(None).cast("boolean"))
-    hardware = (F.bool_or(F.coalesce(F.col("reject_flag") == 1, F.lit(False))) if "reject_flag" in have
-                else F.lit(False))
+    status = next((c for c in ("processed_status", "quality_status") if c in have), None)
+    rejected = (F.bool_or(F.coalesce(F.col(status) == "REJECTED", F.lit(False)))
+                if status else F.lit(None).cast("boolean"))
+    flag = numbers.safe_double(F.col("reject_flag").cast("string")) if "reject_flag" in have else None
+    hardware = F.bool_or(F.coalesce(flag == 1, F.lit(False))) if flag is not None else F.lit(False)
     g = placed.groupBy("folder").agg(first.alias("f"), F.count(F.lit(1)).alias("row_count"),
                                      F.max("timestamp").alias("last_time"), rejected.alias("rejected"),
                                      hardware.alias("hardware_reject"))

@@ -364,3 +364,33 @@ ORACLE["ops_errors"] = f"""WITH {REC}, e AS (
    WHERE (topic = 'factory' OR topic LIKE 'factory/%') AND i % 20 IN (3, 8)
   UNION ALL SELECT 'bad_weight', 'cleaner' FROM can WHERE net_weight = 'sensor_error')
  SELECT error_type, component, count(*) AS errors FROM e GROUP BY 1, 2"""
+
+# records as they were sent, beside what the whole chain found out
+_SENT = REC + """,
+ m AS (SELECT can.* EXCLUDE (quality_status, identity), i AS identity, can.identity AS sent_identity, can.quality_status AS sent_status,
+   CASE WHEN can.quality_status IS NOT NULL OR coalesce(reject_flag, '0') = '0' THEN 'OK' ELSE 'REJECTED' END AS quality_status,
+   base + to_microseconds(i % 10000000) AS timestamp, coalesce(a.name, 'UNKNOWN_PRODUCT') AS article, a.name AS mapped,
+   number * 1000.0 AS clean_net_weight_g,
+   CASE linea WHEN 'Line_00' THEN 4 WHEN 'Line_01' THEN 8 WHEN 'Line_02' THEN 100 ELSE 1 END AS active_workers
+  FROM can LEFT JOIN (VALUES ('A-100', 'Alpha Mix'), ('A-101', 'Beta Mix'), ('A-102', 'Gamma (Mix)'), ('A-103', 'Delta/Mix')) a(code, name)
+   ON can.article_number = a.code WHERE net_weight <> 'sensor_error')"""
+ORACLE["pipeline_archive"] = f"""WITH {_SENT}{_STEPS}
+ SELECT s3.mqtt_topic, s3.linea, sent_identity AS identity, record_uuid, net_weight, time_text AS timestamp_text,
+  sent_status AS quality_status, reject_flag, article_name, article_number, s3.timestamp, s3.quality_status AS processed_status,
+  round(clean_net_weight_g, 4) AS calculated_net_weight, CAST(0 AS DOUBLE) AS tare_g, active_workers, batch_instance_id,
+  seq AS batch_sequence, b.start_time AS batch_start_time, coalesce(mapped, 'UNKNOWN_REF') AS number_refactor
+ FROM s3 JOIN b USING (mqtt_topic, linea, run)"""
+_OFFSET = (f"strftime({_zone('moment')}, '%Y-%m-%dT%H:%M:%S.%f') || CASE WHEN epoch_us({_zone('moment')}) - epoch_us(moment) = 7200000000 "
+           "THEN '+02:00' ELSE '+01:00' END")
+ORACLE["state_roundtrip"] = f"""WITH t AS (SELECT event_id, event_type, ts + to_microseconds(event_id * 5000000000) AS moment FROM events),
+ u AS (SELECT *, CASE WHEN event_id % 3 <> 0 THEN moment END AS seen, {_OFFSET} AS written FROM t)
+ SELECT event_id, '{{"event_id":' || event_id || ',"moment":"' || written || '","state":{{"event_type":"' || event_type || '","seen":'
+  || CASE WHEN seen IS NULL THEN 'null' ELSE '"' || written || '"' END || '}}}}' AS line, moment, event_type, seen FROM u"""
+ORACLE["kpi_parts"] = f"""WITH {M}, g AS (SELECT mqtt_topic, linea, time_bucket(INTERVAL 30 MINUTE, timestamp) AS window_start, {_SUMS} FROM m GROUP BY 1, 2, 3)
+ SELECT mqtt_topic, linea, window_start, units, units_ok, units_rejected, {_figures('CAST(0.5 AS DOUBLE)')} FROM g"""
+ORACLE["kpi_shift_parts"] = ORACLE["kpi_shift"]
+ORACLE["enrich_workers_log"] = f"""WITH {W}, u AS (SELECT ts, 'Line_' || lpad(CAST(user_id % 40 AS VARCHAR), 2, '0') AS line_id,
+   floor(value) % 120 AS n FROM events WHERE event_id % 10 NOT IN (0, 1) AND event_id % 9 NOT IN (0, 1)),
+  l AS (SELECT line_id, CAST(max((ts, n))[2] AS INTEGER) AS n FROM u WHERE n <= 100 GROUP BY 1)
+ SELECT identity, linea, coalesce(l.n, CASE linea WHEN 'Line_00' THEN 4 WHEN 'Line_01' THEN 8 WHEN 'Line_02' THEN 100 ELSE 1 END) AS active_workers
+ FROM w LEFT JOIN l ON l.line_id = w.linea"""

@@ -77,7 +77,7 @@ def enrich(df: DataFrame, lookups: Lookups, zone: str = S.FACTORY_ZONE) -> DataF
     out = cl.business_fields(df, zone)
     out = en.enrich_workers(out, lookups.workers)
     out = en.giveaway(en.enrich_targets(out, lookups.targets))
-    return st.with_lag(en.map_articles(out, lookups.articles), zone=zone)
+    return st.with_lag(en.map_articles(out, lookups.articles, found_col="article_known"), zone=zone)
 
 
 def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_pattern: str = S.TOPIC_FILTER,
@@ -90,10 +90,10 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
     """
     # The raw source is read and parsed once: records, rejected records and dead letters all come from this table, which
     # also feeds segmentation, the joins back and both outputs.
-    kept = ("net_weight_text", "timestamp_text", "topic", "data", "dead_reason")
+    # The record as it was sent travels along as a struct, for the archive.
+    kept = ("raw", "topic", "data", "dead_reason")
     parsed = rw.parse_all(rw.subscribe(raw, topic_pattern)).withColumns(
-        {"net_weight_text": F.col("net_weight"), "timestamp_text": F.col("timestamp"),
-         "attempts": F.coalesce("attempts", F.lit(0))})
+        {"raw": F.struct(*rw.SENT), "attempts": F.coalesce("attempts", F.lit(0))})
     if failing is not None:
         parsed = parsed.withColumn("message", F.xxhash64("topic", "data", "received_at", "attempts"))
         kept += ("message", "attempts")
@@ -112,7 +112,8 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
         everything = materialize(enriched.withColumn("data", F.when(~alive | ~cl.is_valid() | F.col("fails"), F.col("data"))), "records")
         held, everything, letters = hold_back(everything)
         retry = held
-    rejected = everything.where(alive & ~cl.is_valid()).withColumn("reason", cl.rejection())
+    rejected = (everything.where(alive & ~cl.is_valid()).withColumn("reason", cl.rejection())
+                .withColumns({"net_weight_text": F.col("raw.net_weight"), "timestamp_text": F.col("raw.timestamp")}))
     rows = everything.where(alive & cl.is_valid() & F.col("is_new")).drop("topic", "data", "dead_reason", "is_new")
 
     if state is None:
@@ -131,7 +132,7 @@ def process(raw: DataFrame, lookups: Lookups, state: State | None = None, topic_
     stops = st.detect_stops(seg, zone, max_lag, closed_only=more_follows)
     both = materialize(al.all_alerts(found.alerts, stops), "alerts")
     is_return = F.col("alert_type") == S.RETURN_TYPE
-    with_ids = ba.with_batches(on_time, seg)
+    with_ids = materialize(ba.with_batches(on_time, seg), "weighings")  # archive, hot table, reports and figures read it
     return Result(
         dead_letters=rw.letters_of(everything) if letters is None else rw.letters_of(everything).unionByName(letters), retry=retry, rejected=rejected.drop("topic", "dead_reason", "is_new"),
         late=late, weighings=with_ids, batches=batches.select(*ba.PUBLIC, *seg.measures), returns=both.where(is_return),
@@ -186,12 +187,12 @@ def write_result(result: Result, root: str, zone: str = S.FACTORY_ZONE, epoch: i
     cold = result.weighings.unionByName(result.late, allowMissingColumns=True)
 
     def both_stores() -> None:
-        tb.write_archive(cold, f"{root}/archive", archive_format, zone, epoch)
+        tb.write_archive(ou.archive_rows(cold), f"{root}/archive", archive_format, zone, epoch)
         tb.write_hot(ou.hot_rows(cold), f"{root}/hot", epoch)
 
     side = {"rejected": result.rejected, "batches": result.batches, "late": result.late, "returns": result.returns,
             "stops": result.stops, "routed_alerts": result.routed, "retry": result.retry}
-    together(both_stores, lambda: tb.write_dead_letters(result.dead_letters, f"{root}/dead_letters", epoch),
+    together(both_stores, lambda: tb.write_kpi_parts(cold, f"{root}/kpi_parts", epoch), lambda: tb.write_dead_letters(result.dead_letters, f"{root}/dead_letters", epoch),
              *[lambda n=n, d=d: tb.write_table(d, f"{root}/{n}", epoch) for n, d in side.items()])
 
 
@@ -219,7 +220,7 @@ def audit(result: Result, seconds: float) -> DataFrame:
 def write_reports(result: Result, root: str, epoch: int, seconds: float, zone: str = S.FACTORY_ZONE) -> None:
     """Daily report of the batches that closed in this run, the archive's manifest, and the run's audit."""
     closed = result.batches.where("recorded")
-    archived = result.weighings.unionByName(result.late, allowMissingColumns=True)
+    archived = ou.archive_rows(result.weighings.unionByName(result.late, allowMissingColumns=True))
     together(lambda: tb.write_daily_report(closed, f"{root}/daily_production", zone, epoch),
              lambda: tb.write_table(ou.archive_manifest(archived), f"{root}/archive_manifest", epoch),
              lambda: tb.write_table(audit(result, seconds), f"{root}/audit", epoch))

@@ -10,7 +10,9 @@ from weighline import settings as S
 from weighline.functions import numbers, text as tx, times
 from weighline.operators import (alerts as al, audit, batches as ba, clean as cl, dedup as dd, enrich as en, kpis,
                                  outputs as ou, reports as rp, returns as rt, stops as st)
+from weighline.plans import pipeline as pl
 from weighline.session import require_utc
+from weighline.sinks import snapshot as sn
 from weighline.sources import lookups as lk, raw, telemetry as tm
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -271,6 +273,15 @@ def workers_latest(spark, sf_dir):
     return en.workers_latest(en.worker_log(ok))
 
 
+@query
+def enrich_workers_log(spark, sf_dir):
+    """Headcount of records after the accepted changes of the log; updates are given to the lines of the records."""
+    updates = worker_updates(spark, sf_dir).withColumn("line_id", F.regexp_replace("line_id", "^Linea_02", "Line_"))
+    log = en.worker_log(en.workers_updates(updates).where("accepted"))
+    workers = en.with_updates(lk.dim_workers(spark, tm.WORKERS), log)
+    return en.enrich_workers(tm.weighings(spark, sf_dir), workers).select("identity", "linea", "active_workers")
+
+
 # --- dedup ------------------------------------------------------------------------------------------------------
 
 def past_watermark(w: DataFrame) -> DataFrame:
@@ -516,6 +527,29 @@ def cold_semi(spark, sf_dir):
     return ou.cold_semi(raw_rows, kept).select("mqtt_topic", "identity", "record_uuid")
 
 
+@query
+def pipeline_archive(spark, sf_dir):
+    """Raw JSON through the whole chain to archive rows: the record as sent beside what was found out."""
+    lookups = pl.Lookups.read(spark, tm.WORKERS, tm.TARGETS, tm.ARTICLES, tm.CONTACTS)
+    rows = ou.archive_rows(pl.process(tm.raw_messages(spark, sf_dir), lookups).weighings)
+    return rows.select("mqtt_topic", "linea", "identity", "record_uuid", "net_weight", "timestamp_text", "quality_status", "reject_flag",
+                       "article_name", "article_number", "timestamp", "processed_status",
+                       F.round("calculated_net_weight", 4).alias("calculated_net_weight"), "tare_g", "active_workers",
+                       "batch_instance_id", "batch_sequence", "batch_start_time", "number_refactor")
+
+
+@query
+def state_roundtrip(spark, sf_dir):
+    """Rows written as JSON lines and read back, over both changes of the clock."""
+    e = tm.events(spark, sf_dir)
+    at = F.timestamp_micros(F.unix_micros("ts") + F.col("event_id") * F.lit(5_000_000_000))
+    rows = e.select("event_id", at.alias("moment"), F.struct("event_type", F.when(F.col("event_id") % 3 != 0, at).alias("seen")).alias("state"))
+    lines = sn.encode(rows)
+    back = lines.select("line", F.from_json("line", "event_id bigint").getField("event_id").alias("_id")).join(
+        sn.decode(lines, rows.schema).withColumnRenamed("event_id", "_back"), F.col("_id") == F.col("_back"))
+    return back.select(F.col("_id").alias("event_id"), "line", "moment", F.col("state.event_type").alias("event_type"), F.col("state.seen").alias("seen"))
+
+
 @query
 def cold_paths(spark, sf_dir):
     w = mapped(spark, sf_dir)
@@ -547,6 +581,20 @@ def kpi_sliding(spark, sf_dir):
     return kpis.kpi_window(enriched(spark, sf_dir), "2 hours", "1 hour")
 
 
+@query
+def kpi_parts(spark, sf_dir):
+    """Half-hours from sums per minute that two parts of the feed, interleaved, were added up to."""
+    w = enriched(spark, sf_dir)
+    halves = [kpis.minute_parts(w.where(F.col("identity") % 2 == n)) for n in range(2)]
+    return kpis.window_of_parts(kpis.merge_parts(*halves), "30 minutes")
+
+
+@query
+def kpi_shift_parts(spark, sf_dir):
+    """Shifts from sums per minute."""
+    return kpis.shift_of_parts(kpis.minute_parts(enriched(spark, sf_dir)))
+
+
 @query
 def kpi_batch(spark, sf_dir):
     seg = ba.segment(enriched(spark, sf_dir).select("mqtt_topic", "linea", "timestamp", "identity", "number_refactor",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weighline import settings as S
-from weighline.operators import outputs as ou, reports as rp
+from weighline.operators import kpis as kp, outputs as ou, reports as rp
 from weighline.sinks.days import DayTable, replace_by
 
 ARCHIVE_KEYS = ["p_topic", "p_line", "p_year", "p_month", "p_day", "p_article", "p_batch"]
@@ -59,6 +59,23 @@ def read_hot(spark: SparkSession, path: str, day=None, epoch: int | None = None)
     return table.read(table.newest() if epoch is None else epoch, lambda d: day is None or d == day).drop("utc_date")
 
 
+def write_kpi_parts(records: DataFrame, path: str, epoch: int | None = None) -> None:
+    """Add the records' sums per line and minute to the table by UTC day.
+
+    Only the days of these records are opened; an epoch that is run again adds to what the epoch before it left, so nothing
+    is counted twice, and a record may be late by any time.
+    """
+    parts = kp.minute_parts(records)
+    table = DayTable(records.sparkSession, path, parts.drop("utc_date").schema)
+    table.merge(table.newest() + 1 if epoch is None else epoch, parts, kp.merge_parts)
+
+
+def read_kpi_parts(spark: SparkSession, path: str, epoch: int | None = None, day=None) -> DataFrame:
+    """Sums per line and minute after ``epoch`` (the newest if None), of one UTC day or of all."""
+    table = DayTable(spark, path)
+    return table.read(table.newest() if epoch is None else epoch, lambda d: day is None or d == day)
+
+
 def write_dead_letters(letters: DataFrame, path: str, epoch: int | None = None) -> None:
     _write(letters, path, "json", ["reason"], epoch)
 

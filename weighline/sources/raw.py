@@ -26,6 +26,10 @@ _FIELDS = T.StructType([T.StructField(n, T.StringType()) for n in NAMES])
 _RECORDS = T.ArrayType(T.StructType([*_FIELDS.fields, T.StructField("values", _FIELDS)]))
 
 
+#: Columns of :func:`parse_all` that hold a record as it was sent: text under canonical names.
+SENT = ["mqtt_topic", *["server_time_text" if n == "serverTime" else n for n in S.ALIASES], "quality_status", "tare_g", "creation_utc_text"]
+
+
 def load_raw(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Landed messages ``(topic, payload, received_at, attempts)`` as a batch scan with a fixed schema."""
     return spark.read.format(fmt).schema(RAW_SCHEMA).load(path)

@@ -18,14 +18,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from weighline import settings as S
 from weighline.functions import text as tx, times
-from weighline.operators import batches as ba, stops as st
+from weighline.operators import batches as ba, kpis as kp, stops as st
 from weighline.plans.pipeline import Lookups, State, process, together, write_reports, write_result
 from weighline.session import intermediates, remove
-from weighline.sinks import tables as tb
+from weighline.sinks import snapshot as sn, tables as tb
 from weighline.sources import raw as rw
 
 #: Epochs whose state is kept, for replays and restarts.
 KEPT_EPOCHS = 10
+#: Folder of a state that came from a snapshot; the first epoch begins with it.
+IMPORTED = "imported"
 STATE_TABLES = ("open_batches", "counters", "history", "closed", "watermark")
 
 
@@ -41,7 +43,12 @@ def write_state(state: State, root: str, epoch: int) -> None:
 
 def read_state(spark: SparkSession, root: str, epoch: int) -> State | None:
     if epoch < 0:
-        return None
+        try:
+            return State(*[spark.read.parquet(f"{root}/state/{IMPORTED}/{name}") for name in STATE_TABLES])
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
     return State(*[spark.read.parquet(f"{root}/state/epoch={epoch}/{name}") for name in STATE_TABLES])
 
 
@@ -129,6 +136,39 @@ def read_hot(spark: SparkSession, root: str, day=None) -> DataFrame:
     return tb.read_hot(spark, f"{root}/hot", day, last_epoch(spark, root))
 
 
+def kpi_window(spark: SparkSession, root: str, window: str = "1 minute", slide: str | None = None, day=None) -> DataFrame:
+    """Figures per line and window of what committed epochs hold; ``day`` (UTC) opens that day alone."""
+    return kp.window_of_parts(tb.read_kpi_parts(spark, f"{root}/kpi_parts", last_epoch(spark, root), day), window, slide)
+
+
+def kpi_shift(spark: SparkSession, root: str, zone: str = S.FACTORY_ZONE) -> DataFrame:
+    """Figures per local date, shift and line of what committed epochs hold."""
+    return kp.shift_of_parts(tb.read_kpi_parts(spark, f"{root}/kpi_parts", last_epoch(spark, root)), zone)
+
+
+def kpi_batch(spark: SparkSession, root: str) -> DataFrame:
+    """Figures per production batch of what committed epochs hold."""
+    return kp.kpi_batch(current_batches(spark, root))
+
+
+# --- snapshot of the state --------------------------------------------------------------------------------------
+
+def export_state(spark: SparkSession, root: str, folder: str, epoch: int | None = None) -> int:
+    """Write the state after ``epoch`` (the newest committed one) as JSON lines; returns the epoch."""
+    epoch = last_epoch(spark, root) if epoch is None else epoch
+    state = read_state(spark, root, epoch)
+    if state is None:
+        raise ValueError(f"{root} has no committed epoch")
+    together(*[lambda n=n: sn.write(getattr(state, n), f"{folder}/{n}") for n in STATE_TABLES])
+    return epoch
+
+
+def import_state(spark: SparkSession, folder: str, root: str) -> None:
+    """Let a new stream under ``root`` begin with a snapshot: its first epoch reads this state."""
+    state = State(*[sn.read(spark, f"{folder}/{n}") for n in STATE_TABLES])
+    together(*[lambda n=n: getattr(state, n).write.mode("overwrite").parquet(f"{root}/state/{IMPORTED}/{n}") for n in STATE_TABLES])
+
+
 # --- live stop check --------------------------------------------------------------------------------------------
 
 def silent_lines(open_batches: DataFrame, now, zone: str = S.FACTORY_ZONE,
