@@ -180,7 +180,7 @@ def test_batch_run_twice_changes_nothing(spark, feed, at_once, tmp_path):
 
 
 def test_stream_reports(spark, streamed, at_once):
-    report = spark.read.json([f"{streamed}/daily_production/productions/epoch={n}" for n in range(4)])
+    report = spark.read.json(streamed + "/daily_production/productions")
     assert report.count() == at_once.batches.where("recorded").count()
     done = spark.read.parquet(streamed + "/audit").where("status = 'ok'").agg(F.sum("messages")).first()[0]
     assert done == 1000
@@ -232,7 +232,7 @@ def test_state_snapshot(spark, streamed, feed, tmp_path):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
     sm.handler(root, lookups)(rw.load_raw(spark, feed + "/part-3.json"), 0)
     assert sorted(map(str, sm.read_state(spark, root, 0).open_batches.collect())) == sorted(map(str, old.open_batches.collect()))
-    assert sm.read_hot(spark, root).count() == 0
+    assert sm.tb.DayTable(spark, root + "/hot").versions(0) == {} and sm.kpi_window(spark, root).count() == 0
 
 
 def test_snapshot_of_odd_rows(spark):

@@ -10,6 +10,8 @@ from weighline.functions.numbers import half_up
 
 DIGITS = 4
 #: Sums that figures are made of; they add up over parts of a feed.
+PARTS_SCHEMA = ("minute timestamp, mqtt_topic string, linea string, units bigint, units_ok bigint, units_rejected bigint, "
+                "net_g double, workers_sum bigint")
 PARTS = ["units", "units_ok", "units_rejected", "net_g", "workers_sum"]
 
 

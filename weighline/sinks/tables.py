@@ -65,14 +65,13 @@ def write_kpi_parts(records: DataFrame, path: str, epoch: int | None = None) ->
     Only the days of these records are opened; an epoch that is run again adds to what the epoch before it left, so nothing
     is counted twice, and a record may be late by any time.
     """
-    parts = kp.minute_parts(records)
-    table = DayTable(records.sparkSession, path, parts.drop("utc_date").schema)
-    table.merge(table.newest() + 1 if epoch is None else epoch, parts, kp.merge_parts)
+    table = DayTable(records.sparkSession, path, kp.PARTS_SCHEMA)
+    table.merge(table.newest() + 1 if epoch is None else epoch, kp.minute_parts(records), kp.merge_parts)
 
 
 def read_kpi_parts(spark: SparkSession, path: str, epoch: int | None = None, day=None) -> DataFrame:
     """Sums per line and minute after ``epoch`` (the newest if None), of one UTC day or of all."""
-    table = DayTable(spark, path)
+    table = DayTable(spark, path, kp.PARTS_SCHEMA)
     return table.read(table.newest() if epoch is None else epoch, lambda d: day is None or d == day)
 
 
