@@ -110,6 +110,43 @@ def test_near_mixed_buckets_by_blocks(spark, monkeypatch):
     assert sorted([tuple(r)[:4] for r in got], key=key) == sorted([w[:4] for w in near_brute(data, 2, 80)], key=key)
 
 
+def kept_one(files, name, df):
+    files.setdefault(name, []).append(df)
+    return df
+
+
+def test_near_light_tables_are_few_tasks(spark, monkeypatch):
+    """With many shuffle partitions, a table of few numbers is not written by a task for each of them."""
+    files, table_of = {}, near_dedup.C.table
+    monkeypatch.setattr(near_dedup.C, "table", lambda df, name: kept_one(files, name, table_of(df, name)))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "48")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        data = family(3)
+        got = near_dedup.near_dedup(table(spark, data)).collect()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert sorted([tuple(r)[:4] for r in got], key=key) == sorted([w[:4] for w in near_brute(data, 2, 80)], key=key)
+    most = 2 * spark.sparkContext.defaultParallelism
+    names = ("classes", "crowded", "buckets", "met", "hubs", "edges", "labels", "open", "mixed")
+    assert all(len(t.inputFiles()) <= most for n in names for t in files[n])
+
+
+def test_near_buckets_of_two_are_settled_by_their_pair(spark, monkeypatch):
+    """Pairs that share a bucket but are no link were judged once and are not compared again in blocks."""
+    found, table_of = {}, near_dedup.C.table
+    monkeypatch.setattr(near_dedup.C, "table", lambda df, name: kept_one(found, name, table_of(df, name)))
+    data = []
+    for i in range(20):
+        words = [f"w{i}x{j}" for j in range(100)]
+        data += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:75] + [f"v{i}x{j}" for j in range(25)]))]
+    got = near_dedup.near_dedup(table(spark, data)).collect()
+    assert all(r.kept for r in got) and len(got) == 40
+    assert found["crowded"][0].count() > 0 and found["mixed"][0].count() == 0
+
+
 def test_near_chain_of_links(spark):
     data = [(i, " ".join(f"k{j}" for j in range(i * 2, i * 2 + 60))) for i in range(40)]
     got = near_dedup.near_dedup(table(spark, data)).collect()

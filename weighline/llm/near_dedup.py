@@ -43,6 +43,8 @@ BATCH, MISS = 32, 1e-6
 BLOCK, PARTNERS = 256, 500
 #: Bytes of text hashed at a time.
 PART = 1 << 20
+#: Rows of numbers that a task writes at least, where the session has more partitions than its cores need.
+TASK_ROWS = 50_000
 _LOW = -(1 << 63)
 _HIGH = (1 << 63) - 1
 _SPACE = np.zeros(256, bool)
@@ -235,17 +237,27 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return C.map_arrow(dealt, run, "hub long, cid long")
 
 
+def light(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """A table of at most so many rows of a few numbers, written by no more tasks than they need.
+
+    Its shuffles follow the session's partitions, which suit texts; thousands of tasks of a few rows each would cost more
+    than the rows.  A session with adaptive coalescing comes to the same; tables that need more tasks keep them all."""
+    tasks = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+    return C.table(df.coalesce(tasks), name)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(cid, comp): the smallest node reachable over links (hub, cid), for nodes that have any.
 
     Each round takes the least label of all neighbours, then follows labels one step (so long chains halve)."""
-    edges = C.table(links.select(F.col("hub").alias("a"), F.col("cid").alias("b")).union(links.select("cid", "hub")).distinct(), "edges")
-    labels = C.table(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "cid"), "labels")
+    n = 2 * links.count()
+    edges = light(links.select(F.col("hub").alias("a"), F.col("cid").alias("b")).union(links.select("cid", "hub")).distinct(), n, "edges")
+    labels = light(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "cid"), n, "labels")
     while True:
         near = (edges.join(labels.select(F.col("cid").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("near")))
         moved = labels.join(near, labels["cid"] == near["a"]).select("cid", "comp", F.least("comp", "near").alias("to"))
         follow = labels.select(F.col("cid").alias("to"), F.col("comp").alias("next"))
-        new = C.table(moved.join(follow, "to", "left").select("cid", F.least("to", F.coalesce("next", "to")).alias("new"), "comp"), "labels")
+        new = light(moved.join(follow, "to", "left").select("cid", F.least("to", F.coalesce("next", "to")).alias("new"), "comp"), n, "labels")
         changed = new.where("new < comp").limit(1).count()
         labels = new.select("cid", F.col("new").alias("comp"))
         if not changed:
@@ -259,7 +271,7 @@ def blocks(mixed: DataFrame, firsts: DataFrame, texts: DataFrame, size: int, per
     looked at in the first band it shares only.  Survivors of the signatures are confirmed on their full sets at once,
     so that what leaves the task are links, and of those only such as join components.
     """
-    sizes = C.table(mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), "sizes")
+    sizes = light(mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), mixed.count(), "sizes")
     placed = (mixed.join(sizes, "key").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
               .join(firsts.select("cid", "bands", "sig"), "cid").join(texts, "cid"))
     # a member goes to the pairs (part, j) for j >= part and (i, part) for i < part
@@ -278,7 +290,7 @@ def blocks(mixed: DataFrame, firsts: DataFrame, texts: DataFrame, size: int, per
             key, i, j = group
             left = np.flatnonzero(part == i)
             right = left if i == j else np.flatnonzero(part == j)
-            sets = flat = None
+            texts, sets = pa.chunked_array([b.column("text") for b in held]), {}  # sets of members that some signature lets through
             joined: dict[int, int] = {}
 
             def root(c: int) -> int:
@@ -298,17 +310,14 @@ def blocks(mixed: DataFrame, firsts: DataFrame, texts: DataFrame, size: int, per
                 other = other[survive(np.broadcast_to(sig[a], (len(other), HASHES)), sig[other], threshold)]
                 if not len(other):
                     continue
-                if sets is None:  # numbers in place of hashes, and all members' sets in a row
-                    sets = document_sets([t for b in held for t in b.column("text").to_pylist()], size)
-                    lengths = np.array([len(x) for x in sets])
-                    begins = np.cumsum(lengths) - lengths
-                    universe, flat = np.unique(np.concatenate(sets), return_inverse=True)
-                    mark = np.zeros(len(universe), np.int32)
-                mine = flat[begins[a]:begins[a] + lengths[a]]
-                mark[mine] = 1
-                common = np.add.reduceat(mark[flat], begins)[other]  # no set is empty
-                mark[mine] = 0
-                for o in other[100 * common >= percent * (lengths[a] + lengths[other] - common)].tolist():
+                unread = [k for k in (int(a), *other.tolist()) if k not in sets]
+                if unread:
+                    sets.update(zip(unread, document_sets(texts.take(pa.array(unread)).to_pylist(), size)))
+                mine, theirs = sets[int(a)], [sets[o] for o in other.tolist()]
+                lengths, flat = np.array([len(x) for x in theirs]), np.concatenate(theirs)
+                at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+                common = np.add.reduceat((mine[at] == flat).astype(np.int64), np.cumsum(lengths) - lengths)  # no set is empty
+                for o in other[100 * common >= percent * (len(mine) + lengths - common)].tolist():
                     x, y = root(int(comp[a])), root(int(comp[o]))
                     if x != y:
                         joined[max(x, y)] = min(x, y)
@@ -338,18 +347,20 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80, id_col: str =
     """doc_id, n_shingles, component_id, kept, stays, and ``tk`` (hash of the text), one row per row of the input."""
     threshold = percent / 100
     rows = C.table(signed(docs, size, id_col, text_col), "signed")
-    classes = C.table(rows.where("n > 0").groupBy("k1", "k2").agg(
-        F.min("rid").alias("cid"), F.min(F.struct(F.coalesce("doc_id", F.lit(_HIGH)).alias("id"), "rid")).alias("best")), "classes")
+    n = rows.count()
+    classes = light(rows.where("n > 0").groupBy("k1", "k2").agg(
+        F.min("rid").alias("cid"), F.min(F.struct(F.coalesce("doc_id", F.lit(_HIGH)).alias("id"), "rid")).alias("best")), n, "classes")
     firsts = C.table(rows.where("bands IS NOT NULL").join(classes.select(F.col("cid").alias("rid")), "rid")
                      .select(F.col("rid").alias("cid"), "id", "tk", "bands", "sig"), "first-rows")
     members = firsts.select(F.explode("bands").alias("key"), "cid")
     # tables of their own: a join right above an aggregate could not be split when a key is crowded
-    crowded = C.table(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "crowded")
-    live = C.table(members.join(crowded, "key"), "buckets")
+    crowded = light(members.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), BANDS * n, "crowded")
+    live = light(members.join(crowded, "key"), BANDS * n, "buckets")
+    n_live = live.count()
     # the centre of a group of near copies meets more members, in more buckets, than they meet each other
-    met = C.table(live.groupBy("cid").agg(F.sum("size").alias("met")), "met")
-    live = C.table(live.join(met, "cid").select("key", "cid", F.struct("met", F.xxhash64("cid").alias("tie")).alias("rank")), "buckets")
-    centres = C.table(live.groupBy("key").agg(F.max_by("cid", "rank").alias("hub")), "hubs")
+    met = light(live.groupBy("cid").agg(F.sum("size").alias("met")), n, "met")
+    live = light(live.join(met, "cid").select("key", "cid", "size", F.struct("met", F.xxhash64("cid").alias("tie")).alias("rank")), n_live, "buckets")
+    centres = light(live.groupBy("key").agg(F.max_by("cid", "rank").alias("hub")), n_live, "hubs")
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_LOW)).alias("id"), F.xxhash64(C.text_of(text_col)).alias("tk"),
                         C.text_of(text_col).alias("text"))
     first = live.select("key", "cid").join(centres, "key").where("hub <> cid").select("hub", "cid").distinct()
@@ -359,10 +370,10 @@ def near_dedup(docs: DataFrame, size: int = 2, percent: int = 80, id_col: str =
     texts = C.table(keyed.join(wanted, ["id", "tk"]).select("cid", "text").dropDuplicates(["cid"]), "texts")
     links = C.table(confirmed(pairs, texts, size, percent), "links")
     labels = components(links)
-    # buckets whose members are not yet in one component
-    tagged = live.join(labels, "cid", "left").select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
-    open_ = C.table(tagged.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "open")
-    mixed = C.table(tagged.join(open_, "key"), "mixed")
+    # buckets whose members are not yet in one component; the one pair of a bucket of two was judged with its hub
+    tagged = live.where("size > 2").join(labels, "cid", "left").select("key", "cid", F.coalesce("comp", "cid").alias("comp"))
+    open_ = light(tagged.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), n_live, "open")
+    mixed = light(tagged.join(open_, "key"), n_live, "mixed")
     if mixed.limit(1).count():
         links = C.table(links.union(blocks(mixed, firsts, texts, size, percent)), "links")
         labels = components(links)
