@@ -7,6 +7,7 @@ import re
 import time
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -283,6 +284,29 @@ def test_model_learns(spark):
     assert held and np.mean([r.bits_per_byte for r in held]) < 2.6
 
 
+def test_model_is_fitted_on_every_token(spark, monkeypatch):
+    """More tokens than any sample would hold: byte code, counts and weights are those of all of them, whatever the parts."""
+    words = [f"w{i % 9_000}x{i % 13}" for i in range(40_000)]
+    data = [(i, " ".join(words[i * 400:i * 400 + 400])) for i in range(100)]
+    made, train = [], language_model.train
+    monkeypatch.setattr(language_model, "train", lambda *a: made.append(train(*a)) or made[-1])
+    language_model.score(table(spark, data)).count()
+    model = made[0][0]
+    kept = [(i, t) for i, t in data if language_model.fold_of(i) == 0]
+    tokens = Counter(w.encode() for _, t in kept for w in t.split())
+    assert sum(tokens.values()) > 30_000
+    want = language_model.Model.blank(list(tokens.elements()) + [None] * (len(kept) - 1))
+    assert np.array_equal(model.code.length, want.code.length)
+    want = replace(model, weights=want.weights.copy(), refined=want.refined.copy())
+    each = [*tokens, None]
+    counts = np.array([*tokens.values(), len(kept)], float)
+    want.learn(lambda weights: replace(want, weights=weights).gathered(each, counts))
+    assert np.allclose(model.weights, want.weights, atol=1e-6) and np.allclose(model.refined, want.refined, atol=1e-6)
+    # what shares a beginning is worked out once and adds up to the same
+    alone = sum(model.gathered([w], np.array([c])) for w, c in zip(each[:50], counts))
+    assert np.allclose(model.gathered(each[:50], counts[:50]), alone)
+
+
 def test_probabilities_sum_to_one():
     words = [b"ab", b"ac", b"a", b"b"] * 20
     model = language_model.Model.blank(words)
