@@ -67,6 +67,21 @@ def test_against_brute_force(spark, make, seed, target):
     assert per == {(b["topic"], f'{b["article"]}_{b["seq"]:04d}'): b["n"] for b in brute.batches(rows)}
 
 
+def test_sparse_history_is_dealt_once(spark, monkeypatch):
+    """Few records a minute: no table of pieces or runs is made; a day above the target takes the way by minutes."""
+    names, write = [], ba.materialize
+    monkeypatch.setattr(ba, "materialize", lambda df, name: names.append(name) or write(df, name))
+    rows = scattered(12, 300)
+    for target in (10 ** 6, 10):
+        names.clear()
+        df = frame(spark, rows)
+        seg = ba.segment(df, target=target)
+        assert names == ["batches"] if target == 10 ** 6 else "full-days" in names
+        assert got_batches(seg) == want_batches(rows)
+        tagged = ba.with_batches(df, seg)
+        assert tagged.count() == len(rows) and tagged.where("batch_instance_id is null").count() == 0
+
+
 def test_shuffled_paths_give_the_same(spark, monkeypatch):
     """With the broadcast limit at zero every lookup of slices goes through a (salted) shuffle."""
     from weighline.operators import slices as sl

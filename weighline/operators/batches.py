@@ -4,14 +4,20 @@ Rule, per (topic, line) in the order (timestamp, identity): a record opens a bat
 is the first of its UTC day or its article differs from the record before; with reason ``timeout`` when the silence
 before it exceeds an hour or the factory date moved on; otherwise it continues the open batch.
 
-How it scales: one aggregate with map-side combine reduces the records to pieces (line, minute, article).  A minute
-that saw one article is already a finished run, so its records are never shuffled or sorted.  Only minutes with several
-articles go through a window over their records.  Runs are then joined up across minutes on the small run table.
+How it scales: where minutes hold many records, one aggregate with map-side combine reduces them to pieces (line, minute).
+A minute that saw one article is already a finished run, so its records are never shuffled or sorted.  Only minutes with
+several articles go through a window over their records.  Runs are then joined up across minutes on the small run table.
+
+Where minutes hold few records, as in a history of years, nothing can be combined and every step would move about as many
+rows as there are records.  There the records are dealt once, by line and day, and a batch never crosses a day: runs,
+batches and their sums come from that one sort.  Days above ``target`` records take the first way in any case.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
@@ -38,15 +44,20 @@ class Fragments:
 class Segments:
     """Result of :func:`segment`.
 
-    ``fragments``: runs inside one slice, each with the key of its batch.  ``batches``: numbered batches.
-    ``slicing``: how records map to slices.  ``measures``: names of the summed columns.
+    ``fragments``: runs inside one slice, each with the key of its batch (``made``: they, or what makes them when they
+    are first asked for).  ``batches``: numbered batches.  ``slicing``: how records map to slices.  ``measures``: names
+    of the summed columns.
     """
 
-    fragments: DataFrame
+    made: DataFrame | Callable[[], DataFrame]
     batches: DataFrame
     slicing: sl.Slicing
     measures: dict[str, str]
 
+    @cached_property
+    def fragments(self) -> DataFrame:
+        return self.made() if callable(self.made) else self.made
+
 
 def _measures(df: DataFrame) -> dict[str, tuple[str, Column]]:
     have = set(df.columns)
@@ -101,24 +112,25 @@ def fragment(df: DataFrame, article_col: str = "number_refactor", width_seconds:
              target: int = S.SLICE_TARGET_ROWS) -> "Fragments":
     """Article runs per (line, slice): ``run`` counts them inside the slice."""
     rows, measures = prepare(df, article_col, width_seconds)
+    return _fragment(rows, measures, width_seconds, target)
+
+
+def _fragment(rows: DataFrame, measures: dict[str, str], width_seconds: int, target: int) -> "Fragments":
     key = [*LINE, "slice_us"]
-    per_slice = Window.partitionBy(*key)
-    first = F.min("article").over(per_slice) == F.col("article")
-    pieces = (rows.groupBy(*key, "article")
-              .agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"), *_combine(measures))
-              .withColumns({"_articles": F.count(F.lit(1)).over(per_slice), "_rows": F.sum("packages").over(per_slice),
-                            "_first": first}))
+    pieces = (rows.groupBy(*key)
+              .agg(F.min("article").alias("article"), F.max("article").alias("_last"), F.min("us").alias("first_us"),
+                   F.max("us").alias("last_us"), *_combine(measures)))
     # The sizes that decide the next steps are counted while the pieces are written.
-    sizes, is_several = Observation(), F.col("_first") & (F.col("_articles") > 1)
+    sizes, is_several, n_rows = Observation(), F.col("article") < F.col("_last"), F.col("packages")
     pieces = materialize(pieces.observe(
         sizes, F.count_if(is_several).alias("several"),
-        F.count_if(is_several & (F.col("_rows") > target)).alias("hot"),
-        F.count_if(F.col("_first") & (F.col("_rows") > target)).alias("big")), "pieces")
+        F.count_if(is_several & (n_rows > target)).alias("hot"),
+        F.count_if(n_rows > target).alias("big")), "pieces")
     counted = sizes.get
     n_several, n_hot = counted["several"], counted["hot"]
-    several = pieces.where(is_several).select(*key, "_rows")
+    several = pieces.where(is_several).select(*key, n_rows.alias("_rows"))
 
-    runs = (pieces.where("_articles = 1").drop("_articles", "_rows", "_first")
+    runs = (pieces.where(~is_several).drop("_last")
             .withColumn("run", F.lit(1)).withColumn("start_identity", F.lit(None).cast("bigint")))
     slicing = sl.Slicing(tuple(LINE), width_seconds)
     if n_several:
@@ -166,6 +178,44 @@ def _chain(runs: DataFrame, max_gap_seconds: int, zone: str) -> DataFrame:
             .drop("_key", "carry", "head_code", "n_runs"))
 
 
+#: Records for each (line, minute, article) from which combining them first moves less than dealing them once.
+DENSE = 4
+
+
+def _sparse(rows: DataFrame, target: int) -> tuple[bool, DataFrame, int]:
+    """Whether minutes hold few records; the (line, day) with more than ``target`` records, and how many these are."""
+    days = (rows.groupBy(*LINE, sl.day_of(F.col("slice_us")).alias("day"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.approx_count_distinct(F.struct("slice_us", "article"), 0.2).alias("_pieces")))
+    found = days.agg(F.sum("_n"), F.sum("_pieces"), F.count_if(F.col("_n") > target)).first()
+    return (found[0] or 0) < DENSE * (found[1] or 0), days.where(F.col("_n") > target).select(*LINE, "day"), found[2]
+
+
+def _dealt(rows: DataFrame, max_gap_seconds: int, zone: str) -> DataFrame:
+    """Records with the run of their slice and the key of their batch, dealt and sorted once by line and day."""
+    w = Window.partitionBy(*LINE, "day").orderBy("slice_us", "us", "identity", "article")
+    in_slice = Window.partitionBy(*LINE, "day", "slice_us").orderBy("us", "identity", "article")
+    so_far = (Window.unboundedPreceding, 0)
+    rows = rows.withColumns({"_prev_us": F.lag("us").over(w), "_prev_slice": F.lag("slice_us").over(w), "_prev": F.lag("article").over(w)})
+    moved_on = times.local_date(F.timestamp_micros("us"), zone) > times.local_date(F.timestamp_micros("_prev_us"), zone)
+    other = F.col("_prev_us").isNull() | (F.col("_prev") != F.col("article"))
+    return (rows.withColumn("reason_code", F.when(other, _NEW).when((F.col("us") - F.col("_prev_us") > max_gap_seconds * 1_000_000) | moved_on, _TIMEOUT))
+            .withColumn("_starts", F.when(other | (F.col("_prev_slice") != F.col("slice_us")), 1).otherwise(0))
+            .withColumn("run", F.sum("_starts").over(in_slice.rowsBetween(*so_far)).cast("int"))
+            .withColumn("_key", F.last(F.when(F.col("reason_code").isNotNull(), F.struct("slice_us", "run")), True).over(w.rowsBetween(*so_far)))
+            .withColumns({"key_slice": F.col("_key.slice_us"), "key_run": F.col("_key.run")})
+            .drop("_prev_us", "_prev_slice", "_prev", "_key"))
+
+
+def _dealt_runs(dealt: DataFrame, measures: dict[str, str]) -> DataFrame:
+    """The runs of dealt records, as :func:`_chain` gives them."""
+    last_run = F.max("run").over(Window.partitionBy(*LINE, "day", "slice_us"))
+    return (dealt.groupBy(*LINE, "day", "slice_us", "run", "article", "key_slice", "key_run")
+            .agg(F.min("us").alias("first_us"), F.max("us").alias("last_us"),
+                 F.min(F.when(F.col("_starts") == 1, F.col("identity"))).alias("start_identity"),
+                 F.max("reason_code").alias("reason_code"), *_combine(measures))
+            .withColumns({"is_start": F.col("reason_code").isNotNull(), "is_tail": F.col("run") == last_run}))
+
+
 def segment(df: DataFrame, article_col: str = "number_refactor", max_gap_seconds: int = S.MAX_GAP_SECONDS,
             zone: str = S.FACTORY_ZONE, width_seconds: int = S.SLICE_SECONDS, target: int = S.SLICE_TARGET_ROWS,
             open_batches: DataFrame | None = None, counters: DataFrame | None = None) -> Segments:
@@ -175,21 +225,41 @@ def segment(df: DataFrame, article_col: str = "number_refactor", max_gap_seconds
     a run before the first slice of its day, and numbering goes on from the counters.
     """
     require_utc(df.sparkSession)
-    frag = fragment(df, article_col, width_seconds, target)
-    runs, measures = frag.runs, frag.measures
-    if open_batches is not None:
-        runs = runs.unionByName(_seed_runs(open_batches, measures), allowMissingColumns=True)
-    else:
-        runs = (runs.withColumn("seed_sequence", F.lit(None).cast("bigint"))
-                .withColumn("seed_reason", F.lit(None).cast("int")))
-    chained = _chain(runs, max_gap_seconds, zone)
-    grouped = (chained.groupBy(*LINE, "day", "key_slice", "key_run", "article")
-               .agg(F.min("first_us").alias("start_us"), F.max("last_us").alias("end_us"),
-                    F.coalesce(F.max("seed_reason"), F.max(F.when(F.col("is_start"), F.col("reason_code"))))
-                    .alias("reason_code"),
-                    F.max("seed_sequence").alias("seed_sequence"), *_combine(measures)))
-    plain = materialize(grouped, "batches")
-    return Segments(chained, number(plain, counters, target, open_batches is not None), frag.slicing, measures)
+    rows, measures = prepare(df, article_col, width_seconds)
+    none = {"seed_sequence": F.lit(None).cast("bigint"), "seed_reason": F.lit(None).cast("int")}
+    sparse, full, n_full = _sparse(rows, target) if open_batches is None else (False, None, 0)
+    chained, plain, slicing = None, None, sl.Slicing(tuple(LINE), width_seconds)
+    if sparse:
+        rows = rows.withColumn("day", sl.day_of(F.col("slice_us")))
+        if n_full:
+            full = materialize(full, "full-days")
+        usual = rows.join(sl.sized(full, n_full), [*LINE, "day"], "left_anti") if n_full else rows
+        dealt = _dealt(usual, max_gap_seconds, zone)
+        plain = _grouped(dealt.select("*", F.col("us").alias("first_us"), F.col("us").alias("last_us"), F.col("reason_code").isNotNull().alias("is_start"))
+                         .withColumns(none), measures)
+        rows = rows.join(sl.sized(full, n_full), [*LINE, "day"], "left_semi").drop("day") if n_full else None
+    if rows is not None:
+        frag = _fragment(rows, measures, width_seconds, target)
+        runs, slicing = frag.runs, frag.slicing
+        runs = (runs.withColumns(none) if open_batches is None
+                else runs.unionByName(_seed_runs(open_batches, measures), allowMissingColumns=True))
+        chained = _chain(runs, max_gap_seconds, zone)
+        plain = _grouped(chained, measures) if plain is None else plain.unionByName(_grouped(chained, measures))
+    plain = materialize(plain, "batches")
+
+    def made() -> DataFrame:
+        runs = _dealt_runs(dealt, measures).withColumns(none)
+        return materialize(runs if chained is None else runs.unionByName(chained), "runs")
+
+    return Segments(made if sparse else chained, number(plain, counters, target, open_batches is not None), slicing, measures)
+
+
+def _grouped(chained: DataFrame, measures: dict[str, str]) -> DataFrame:
+    return (chained.groupBy(*LINE, "day", "key_slice", "key_run", "article")
+            .agg(F.min("first_us").alias("start_us"), F.max("last_us").alias("end_us"),
+                 F.coalesce(F.max("seed_reason"), F.max(F.when(F.col("is_start"), F.col("reason_code"))))
+                 .alias("reason_code"),
+                 F.max("seed_sequence").alias("seed_sequence"), *_combine(measures)))
 
 
 def _seed_runs(open_batches: DataFrame, measures: dict[str, str]) -> DataFrame:
@@ -206,7 +276,12 @@ def _seed_runs(open_batches: DataFrame, measures: dict[str, str]) -> DataFrame:
 
 def number(plain: DataFrame, counters: DataFrame | None, target: int, with_seeds: bool) -> DataFrame:
     """Closing times, neighbours on the line, and the running number per (topic, article)."""
-    rows, _ = sl.refine(plain, ["mqtt_topic"], "start_us", "bslice", target=target)
+    per_day = plain.groupBy("mqtt_topic", sl.day_of(F.col("start_us")).alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    if per_day.where(F.col("_n") > target).isEmpty():
+        # days serve as slices: what has to cross a border is one row for each of them
+        rows = plain.withColumn("bslice", times.floor_micros(F.col("start_us"), times.DAY_MICROS))
+    else:
+        rows, _ = sl.refine(plain, ["mqtt_topic"], "start_us", "bslice", target=target)
     order = ["start_us", "key_slice", "key_run"]
     about = ["start_us", "end_us", "article", "day", "key_slice", "key_run"]
     w = Window.partitionBy(*LINE, "bslice").orderBy(*order)
