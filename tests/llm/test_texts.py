@@ -307,6 +307,26 @@ def test_model_is_fitted_on_every_token(spark, monkeypatch):
     assert np.allclose(model.gathered(each[:50], counts[:50]), alone)
 
 
+def test_words_are_counted_once_and_travel_back_in_bulk(spark, monkeypatch):
+    """One row per distinct word, with its places, and not a row per word but a few per block to score the documents."""
+    words = [f"w{i}" for i in range(20_000)]
+    data = [(i, " ".join(words[i % 50 * 400:i % 50 * 400 + 400] + ["of"])) for i in range(350)]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartitionByRange(7, "doc_id")
+    fold = language_model.C.table(language_model.folded(docs, "doc_id", "text"), "test-fold")
+    seen = {r.word: r for r in language_model.counted(fold).collect()}
+    tokens = Counter(w.encode() for i, t in data if language_model.fold_of(i) == 0 for w in t.split())
+    assert len(seen) == language_model.counted(fold).count() == 20_001 and all(r.c == tokens[w] for w, r in seen.items())
+    places = {(block, code): bytes(w) for w, r in seen.items() for block, code in np.frombuffer(r.at, np.int64).reshape(-1, 2).tolist()}
+    assert places == {(r.block, r.code): bytes(r.word) for r in fold.where("code >= 0").collect()} and len(places) > 100_000
+    dealt, made = [], language_model.C.map_arrow
+    monkeypatch.setattr(language_model.C, "map_arrow", lambda df, fn, schema, *a: (
+        dealt.append(df) if schema == language_model.OUT_SCHEMA else None) or made(df, fn, schema, *a))
+    got = language_model.score(docs).collect()
+    assert dealt[0].count() < len(places) / 1000
+    want = {w[0]: w for w in lm_base(data)}
+    assert all(tuple(r)[:5] == want[r.doc_id][:5] and math.isclose(r.base_score, want[r.doc_id][5]) for r in got) and len(got) == 350
+
+
 def test_probabilities_sum_to_one():
     words = [b"ab", b"ac", b"a", b"b"] * 20
     model = language_model.Model.blank(words)
