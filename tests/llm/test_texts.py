@@ -351,3 +351,104 @@ def test_contexts_do_not_depend_on_neighbours():
     among = language_model.contexts(*language_model.spelled([b"x", b"hello", b"yy"]))
     for a, b in zip(alone, among):
         assert np.array_equal(a, b[2:8])
+
+
+def across_brute(data, model, across):
+    """Scores by walking every text byte by byte; what was seen across the borders of words is counted here."""
+    def walk(text):
+        before = b"\0\0\0 "
+        for word in [w + b" " for w in (text or "").encode().lower().split()] + [b"\xff"]:
+            for depth in range(len(word)):
+                yield before[-4:] + word[:depth], depth, word[:depth], word[depth]
+            before += word
+
+    code, seen = model.code, Counter()
+    path = lambda byte: list(zip(code.node[byte], code.bit[byte]))[:code.length[byte]]
+    for i, text in data:
+        if language_model.fold_of(i) == 0:
+            for text, depth, _, byte in walk(text):
+                seen.update((k, depth, text[-k:], node, bit) for k in (2, 3, 4) for node, bit in path(byte) if depth < 3)
+    known, odds, steps = {}, lambda n0, n1: math.log(n1 + 0.02) - math.log(n0 + 0.02), (1, 3, 10, 100, 2000)
+
+    def log10(text, depth, begun, byte):
+        out = 0.0
+        spelled = np.frombuffer(begun + bytes([byte]), np.uint8)
+        context = [c[-1:] for c in language_model.contexts(spelled, np.zeros(len(spelled), np.int64))]
+        for node, bit in path(byte):
+            x, gate = model.inputs(context, np.array([node]))
+            p = model.final(*model.mixed(x, gate), gate)[0]
+            if depth < 3:
+                n = [[seen[k, depth, text[-k:], node, b] for b in (0, 1)] for k in (2, 3, 4)]
+                x = np.array([max(-12, min(12, odds(*c))) for c in n] + [math.log(p / (1 - p)), 1])
+                gate = (depth * 6 + sum(sum(n[2]) >= s for s in steps)) * 6 + sum(sum(n[1]) >= s for s in steps)
+                dot = x @ across.weights[gate]
+                at = (max(-11.999, min(11.999, dot)) + 12) * 32 / 24
+                low = int(at)
+                refined = across.refined[gate, low] * (1 - at + low) + across.refined[gate, low + 1] * (at - low)
+                p = max(1e-6, min(1 - 1e-6, (3 / (1 + math.exp(-dot)) + refined) / 4))
+            out += math.log10(p if bit else 1 - p)
+        return out
+
+    for i, text in data:
+        total = 0.0
+        for at in walk(text):
+            at = at[0][-4:] if at[1] < 3 else b"", *at[1:]
+            if at not in known:
+                known[at] = log10(*at)
+            total += known[at]
+        yield i, total
+
+
+def test_contexts_run_on_across_words(spark, monkeypatch):
+    """Scores are those of a walk over the whole text; the order of words counts, parts of the table do not."""
+    made, train, train_across = {}, language_model.train, language_model.train_across
+    monkeypatch.setattr(language_model, "train", lambda *a: made.setdefault("model", train(*a)))
+    monkeypatch.setattr(language_model, "train_across", lambda *a: made.setdefault("across", train_across(*a)))
+    data = rows() + [(400 + i, t) for i, t in enumerate(["a b c d", "d c b a", "b a d c", "ab c de f", "x", "of the x1", "x1 the of"] * 9)]
+    got = language_model.score(table(spark, data)).collect()
+    order = lambda i, s: (i is not None, i or 0, s)
+    got, want = sorted(order(r.doc_id, r.score) for r in got), sorted(order(*x) for x in across_brute(data, made["model"][0], made["across"][0]))
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in got], [x[2] for x in want], rtol=1e-9)
+    score = {r[1]: r[2] for r in got}
+    assert len({round(score[400 + k], 6) for k in range(3)}) == 3 and round(score[405], 6) != round(score[406], 6)
+    made.clear()
+    again = sorted(order(r.doc_id, r.score) for r in language_model.score(table(spark, data).repartition(7)).collect())
+    assert np.allclose([x[2] for x in got], [x[2] for x in again], atol=1e-6)
+
+
+def test_words_that_follow_each_other_are_expected(spark):
+    """Held-out texts in the order that was learned are likelier than the same words in another."""
+    after = {"ring": "west", "door": "lamp", "barn": "gate", "fish": "moon"}
+    rng = np.random.default_rng(5)
+    data = [(i, " ".join(f"{w} {after[w]}" for w in rng.choice([*after], 12))) for i in range(150)]
+    held = [i for i in range(1000, 1200) if language_model.fold_of(i) == 1][:2]
+    words = [*after, *after.values()]
+    data += [(held[0], " ".join(f"{w} {after[w]}" for w in after)), (held[1], " ".join(words[i] for i in (0, 5, 1, 6, 2, 7, 3, 4)))]
+    got = {r.doc_id: r for r in language_model.score(table(spark, data)).collect()}
+    good, bad = (got[i] for i in held)
+    assert good.held_out and bad.held_out and math.isclose(good.base_score, bad.base_score)
+    assert good.bits_per_byte < bad.bits_per_byte / 1.5
+
+
+def test_openings_of_texts():
+    """Every byte less than three deep in its word, and end marks, with the three bytes before the word's space."""
+    import pyarrow as pa
+    texts = [b"", b"a", b"a b c", b"ab c def gh", b"abcd e", b"", b"z abcdef"]
+    vocabulary = sorted({w for t in texts for w in t.split()})
+    code = np.array([vocabulary.index(w) for t in texts for w in t.split()], np.int32)
+    lengths = np.array([len(t.split()) for t in texts])
+    want = []
+    for i, t in enumerate(texts):
+        before = b"\0\0\0 "
+        for w in [w + b" " for w in t.split()] + [b"\xff"]:
+            for d in range(min(3, len(w))):
+                five = (before + w[:d + 1])[-5:]
+                want.append((d, int.from_bytes(five[:3 - d] + five[4 - d:], "big"), i))
+            before += w
+    for of, lens in ((code, lengths), (code[:0], np.zeros(2, np.int64))):
+        found = list(language_model.openings(of, lens, *language_model.edges(pa.array(vocabulary, pa.binary()))))
+        got = sorted((d, int(k), int(i)) for d, key, doc in found for k, i in zip(key, doc))
+        assert got == (sorted(want) if len(of) else [(0, 0xff, 0), (0, 0xff, 1)])
+    for x in (code, code[:0], np.array([0, 255, 256, 70_000, 2**24 - 1])):
+        assert np.array_equal(language_model.joined(language_model.planes(x)), x)
