@@ -452,3 +452,23 @@ def test_openings_of_texts():
         assert got == (sorted(want) if len(of) else [(0, 0xff, 0), (0, 0xff, 1)])
     for x in (code, code[:0], np.array([0, 255, 256, 70_000, 2**24 - 1])):
         assert np.array_equal(language_model.joined(language_model.planes(x)), x)
+
+
+def test_tables_without_words_or_training_texts(spark):
+    got = language_model.score(table(spark, [(i, t) for i in range(20) for t in ("", None)])).collect()
+    assert len(got) == 40 and len({(r.n_tokens, r.base_score, r.score) for r in got}) == 1 and got[0].score < 0
+    held = [i for i in range(60) if language_model.fold_of(i) == 1] + [None]
+    got = language_model.score(table(spark, [(i, t) for i in held for t in ("a bc def ghij", "ghij def bc a", "")])).collect()
+    assert len(got) == 3 * len(held) and {(r.train_tokens, r.n_known) for r in got} == {(0, 0)}
+    assert len({round(r.score, 9) for r in got}) == 2 and all(r.bits_per_byte > 0 for r in got)  # nothing is expected of any order
+
+
+def test_models_are_sent_whole():
+    model = language_model.Model.blank([b"ab", b"c"] * 9)
+    rng = np.random.default_rng(3)
+    for counts in model.counts:
+        counts[rng.integers(0, len(counts), 500)] = rng.integers(0, 1 << 28, (500, 2))
+    import pickle
+    again = pickle.loads(pickle.dumps(model))
+    assert all(np.array_equal(a, b) for a, b in zip(model.counts, again.counts)) and np.array_equal(model.weights, again.weights)
+    again.counts[0][0] += 1  # an own copy
